@@ -83,14 +83,14 @@ def _pick_sql(values: list[str], index: str) -> str:
 
 
 def hits(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranked-match rows; ``ordinal`` stands for the row order of a hits file."""
+    """Ranked-match rows of lines not returned; ``ordinal`` stands for file order."""
     ns = _pick(NAMESPACES, F.col("l_suppkey"))
-    return load(spark, sf, "lineitem").select(
+    return load(spark, sf, "lineitem").filter(F.col("l_returnflag") != "R").select(
         F.col("l_orderkey").alias("gene_id"),
         F.concat(ns, F.lit("__EP"), F.col("l_suppkey"), F.lit("_strain_"), F.col("l_partkey") % 7,
                  F.lit("|p"), F.col("l_partkey")).alias("target"),
         F.concat(ns, F.lit("__")).alias("prefix"),
-        F.round(F.col("l_extendedprice") / 100, 2).alias("bits"),
+        (F.col("l_extendedprice") / 100).alias("bits"),
         (F.col("l_quantity") * 2).alias("pident"),
         F.pow(F.lit(10.0), -(F.col("l_quantity") + F.lit(1))).alias("evalue"),
         (F.col("l_tax") * 1000).alias("qcov"),
@@ -101,9 +101,9 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
 HITS = f"""hits AS (SELECT l_orderkey AS gene_id,
   {_pick_sql(NAMESPACES, 'l_suppkey')} || '__EP' || l_suppkey || '_strain_' || (l_partkey % 7) || '|p' || l_partkey AS target,
   {_pick_sql(NAMESPACES, 'l_suppkey')} || '__' AS prefix,
-  round(l_extendedprice / 100, 2) AS bits, l_quantity * 2 AS pident,
+  l_extendedprice / 100 AS bits, l_quantity * 2 AS pident,
   pow(10.0, -(l_quantity + 1)) AS evalue, l_tax * 1000 AS qcov,
-  CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 100000 + l_suppkey AS ordinal FROM lineitem)"""
+  CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 100000 + l_suppkey AS ordinal FROM lineitem WHERE l_returnflag <> 'R')"""
 
 RANKED = """ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gene_id
   ORDER BY bits DESC, ordinal) - 1 AS rank FROM hits) WHERE rank < 10)"""
@@ -123,7 +123,7 @@ def markers(spark: SparkSession, sf: str) -> DataFrame:
         .select(
             F.col("l_orderkey").alias("gene_id"),
             _pick(MODELS, F.col("l_partkey")).alias("model"),
-            F.round(F.col("l_extendedprice") / 500, 2).alias("score"),
+            (F.col("l_extendedprice") / 500).alias("score"),
             F.pow(F.lit(10.0), -(F.col("l_quantity") / 2)).alias("evalue"),
             F.lit(1).cast("bigint").alias("q_start"),
             (F.col("l_quantity") * 8).cast("bigint").alias("q_end"),
@@ -133,7 +133,7 @@ def markers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MARKERS = f"""markers AS (SELECT l_orderkey AS gene_id, {_pick_sql(MODELS, 'l_partkey')} AS model,
-  round(l_extendedprice / 500, 2) AS score, pow(10.0, -(l_quantity / 2)) AS evalue,
+  l_extendedprice / 500 AS score, pow(10.0, -(l_quantity / 2)) AS evalue,
   CAST(1 AS BIGINT) AS q_start, CAST(l_quantity * 8 AS BIGINT) AS q_end,
   CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 100000 + l_suppkey AS ordinal
   FROM lineitem WHERE l_returnflag <> 'N')"""
