@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.seq import overlapping_tiles
 from .ordered import prefix_scan
 
 BIN = "_bin"
@@ -279,22 +280,19 @@ def tile(df: DataFrame, size: int, halo: int) -> DataFrame:
     ``core_start``/``core_end`` are owned coordinates, ``tile_start`` is where the
     tile text begins.
     """
-    n = F.greatest(F.lit(1), F.ceil(F.col("seq_len") / size).cast("bigint"))
+    windows = overlapping_tiles(F.col("seq"), size, halo, halo)
+    zero = F.lit(0).cast("bigint")
+    keep = [F.col(c) for c in df.columns if c != "seq"]
     return (
-        df.withColumn("tile_idx", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+        df.select(*keep, F.posexplode_outer(windows).alias("_pos", "_text"))
+        .withColumn("tile_idx", F.coalesce(F.col("_pos"), F.lit(0)).cast("bigint"))
         .withColumn("core_start", F.col("tile_idx") * size)
+        .filter((F.col("core_start") < F.col("seq_len")) | (F.col("tile_idx") == 0))
         .withColumn("core_end", F.least(F.col("core_start") + size, F.col("seq_len")))
-        .withColumn("tile_start", F.greatest(F.lit(0).cast("bigint"), F.col("core_start") - halo))
+        .withColumn("tile_start", F.greatest(zero, F.col("core_start") - halo))
         .withColumn("tile_end", F.least(F.col("seq_len"), F.col("core_end") + halo))
-        .withColumn(
-            "tile_seq",
-            F.substring(
-                F.col("seq"),
-                (F.col("tile_start") + 1).cast("int"),
-                (F.col("tile_end") - F.col("tile_start")).cast("int"),
-            ),
-        )
-        .drop("seq")
+        .withColumn("tile_seq", F.coalesce(F.col("_text"), F.lit("")))
+        .drop("_pos", "_text")
     )
 
 

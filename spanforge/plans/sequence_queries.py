@@ -20,8 +20,10 @@ def contigs(spark, sf):
     return load(spark, sf, "documents").select("doc_id", "lang", "n_chars", seq.alias("seq"))
 
 
-KMERS = """km AS (SELECT doc_id, lang, substr(seq, i, 4) AS kmer, count(*) AS cnt FROM (SELECT doc_id, lang, seq,
-    unnest(range(1, length(seq) - 2)) AS i FROM contigs WHERE length(seq) >= 4) GROUP BY ALL HAVING NOT contains(kmer, 'N'))"""
+KMERS = """tl AS (SELECT doc_id, lang, substr(seq, t + 1, 203) AS s, t, length(seq) AS n FROM (SELECT *, unnest(range(0, length(seq) - 3, 200)) AS t
+    FROM contigs WHERE length(seq) >= 4)),
+  km AS (SELECT doc_id, lang, substr(s, i, 4) AS kmer, count(*) AS cnt FROM (SELECT doc_id, lang, s,
+    unnest(range(1, length(s) - 2)) AS i FROM tl) WHERE NOT contains(substr(s, i, 4), 'N') GROUP BY 1, 2, 3)"""
 
 
 @query("kmer_counts", f"WITH {CONTIGS}, {KMERS} SELECT lang, kmer, sum(cnt)::BIGINT AS cnt FROM km GROUP BY ALL")
@@ -48,12 +50,12 @@ KFD_SQL = f"""WITH {CONTIGS}, {KMERS},
      FROM (SELECT DISTINCT doc_id, lang FROM km) c CROSS JOIN bins LEFT JOIN p ON p.doc_id = c.doc_id AND p.kmer = bins.kmer
      LEFT JOIN q ON q.lang = c.lang AND q.kmer = bins.kmer),
   k AS (SELECT doc_id, sqrt(greatest(0, sum(p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / 2)) AS kfd FROM d GROUP BY doc_id),
-  n AS (SELECT doc_id, lang, length(seq) AS n, length(seq) - length(replace(seq, 'N', '')) AS nn,
+  comp AS (SELECT doc_id, lang, length(seq) AS len, length(seq) - length(replace(seq, 'N', '')) AS nn,
      length(seq) - length(translate(seq, 'GC', '')) AS gc FROM contigs),
-  bg AS (SELECT lang, sum(gc) / sum(n - nn) AS gc FROM n GROUP BY lang)
-  SELECT n.doc_id, round(CASE WHEN n >= 100 AND nn <= n * 0.5 AND k.kfd IS NOT NULL THEN k.kfd ELSE 0 END, 6) AS kfd,
-    round(CASE WHEN n >= 100 THEN abs(CASE WHEN n - nn > 0 THEN n.gc / (n - nn) ELSE 0.5 END - bg.gc) ELSE 0 END, 6) AS gc_deviation
-  FROM n LEFT JOIN k USING (doc_id) JOIN bg USING (lang)"""
+  bg AS (SELECT lang, sum(gc) / sum(len - nn) AS bg_gc FROM comp GROUP BY lang)
+  SELECT comp.doc_id, round(CASE WHEN len >= 100 AND nn <= len * 0.5 AND k.kfd IS NOT NULL THEN k.kfd ELSE 0 END, 6) AS kfd,
+    round(CASE WHEN len >= 100 THEN abs(CASE WHEN len - nn > 0 THEN gc / (len - nn) ELSE 0.5 END - bg_gc) ELSE 0 END, 6) AS gc_deviation
+  FROM comp LEFT JOIN k USING (doc_id) JOIN bg USING (lang)"""
 
 
 @query("composition_audit", KFD_SQL)

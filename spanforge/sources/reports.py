@@ -9,28 +9,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.composition import TILE
+from ..functions.seq import overlapping_tiles
+
+
+
+RUN_TILE = 512
 
 
 def lowercase_runs(masked: DataFrame, original: DataFrame, key: str) -> DataFrame:
     """Runs that are lower case in ``seq`` but not in ``original``.
 
-    Positions are compared per tile; a run crossing a tile edge is joined again,
-    because touching runs are merged.
+    Runs are found per tile; one crossing a tile edge is whole again after touching
+    runs are merged.
     """
     from ..operators.intervals import merge_intervals
 
     d = masked.join(original, key)
-    n = F.length("seq")
-    tiles = d.withColumn("_t", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((n - 1) / TILE).cast("int")))))
-    cut = lambda c: F.substring(F.col(c), F.col("_t") * TILE + 1, F.lit(TILE))
-    tiles = tiles.select(key, "_t", cut("seq").alias("a"), cut("original").alias("b"))
-    pos = F.sequence(F.lit(1), F.length("a"))
-
-    def fresh(i):
-        x, y = F.substring(F.col("a"), i, F.lit(1)), F.substring(F.col("b"), i, F.lit(1))
-        return x.rlike("[a-z]") & (x != y)
-
-    at = tiles.filter(F.length("a") > 0).select(key, F.explode(F.filter(pos, fresh)).alias("i"), "_t")
-    start = (F.col("_t") * TILE + F.col("i") - 1).cast("bigint")
-    return merge_intervals(at.select(key, start.alias("start"), (start + 1).alias("end")), [key], TILE).drop("n_merged")
+    both = F.arrays_zip(
+        overlapping_tiles(F.col("seq"), RUN_TILE).alias("a"), overlapping_tiles(F.col("original"), RUN_TILE).alias("b")
+    )
+    d = d.select(key, F.posexplode(both).alias("_t", "_w"))
+
+    def chars(c: str) -> Column:
+        return F.split(F.col(f"_w.{c}"), "")
+
+    def mark(a: Column, b: Column) -> Column:
+        return F.when((a >= "a") & (a <= "z") & (F.length(a) == 1) & (a != b), "x").otherwise(".")
+
+    flags = F.array_join(F.zip_with(chars("a"), chars("b"), mark), "")
+    runs = F.regexp_extract_all(flags, F.lit(r"(x+|\.+)"), F.lit(1))
+    empty = F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+
+    def step(acc, run):
+        stop = acc["pos"] + F.length(run)
+        span = F.array(F.struct(acc["pos"].alias("s"), stop.alias("e")))
+        out = F.when(run.startswith("x"), F.concat(acc["out"], span)).otherwise(acc["out"])
+        return F.struct(stop.alias("pos"), out.alias("out"))
+
+    spans = F.aggregate(runs, empty, step, lambda acc: acc["out"])
+    found = d.select(key, (F.col("_t") * RUN_TILE).cast("bigint").alias("_o"), F.inline(spans))
+    placed = found.select(key, (F.col("_o") + F.col("s")).alias("start"), (F.col("_o") + F.col("e")).alias("end"))
+    return merge_intervals(placed, [key], 16384).drop("n_merged")
