@@ -1,4 +1,4 @@
 """Importing this module fills the query catalogue."""
 
-from . import fingerprint_queries, hit_queries, interval_queries, sequence_queries  # noqa: F401
+from . import candidate_queries, fingerprint_queries, hit_queries, interval_queries, sequence_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
