@@ -9,6 +9,7 @@ from ..operators import intervals as iv
 from ..operators import scoring as sc
 from ..operators import selection as sel
 from ..operators import votes as vt
+from ..session import cut
 from .hit_queries import CAPSID, CLASSES, SUMMARY, VALID_CTES, placed_markers, summary, validated
 from .registry import query
 from .tables import GENES, HITS, KEYS, MARKERS, MODELS, RANKED, genes, hits, load
@@ -193,89 +194,85 @@ def model_patterns(spark, sf):
 # ------------------------------------------------------------------ scores
 
 FEATURES = {
-    "region_id": ("o_orderkey", "o_orderkey"),
-    "kfd": ("(o_custkey % 40) / 100.0", None),
-    "gc_deviation": ("(o_custkey % 23) / 100.0", None),
-    "hallmark_count": ("o_orderkey % 9", None),
-    "hallmark_diversity": ("o_orderkey % 6", None),
-    "has_mcp": ("o_orderkey % 4 = 0", None),
-    "complement_score": ("(o_orderkey % 5) / 4.0", None),
-    "has_categories": ("o_orderkey % 3 <> 0", None),
-    "gene_count": ("o_custkey % 13", None),
-    "viral_top10": ("o_custkey % 7", None),
-    "ncldv_mirus_top10": ("o_custkey % 3", None),
-    "viral_interior": ("o_custkey % 5", None),
-    "dominant_fraction": ("(o_orderkey % 11) / 10.0", None),
-    "high_conf_euk": ("o_orderkey % 4", None),
-    "high_pident_euk": ("o_orderkey % 13", None),
-    "host_gene_count": ("o_orderkey % 5", None),
-    "host_fraction": ("(o_orderkey % 10) / 10.0", None),
-    "interpro_score": ("(o_orderkey % 8) / 7.0", None),
-    "ncldv_markers": ("o_custkey % 5", None),
-    "vp_plv_markers": ("o_custkey % 6", None),
-    "mirus_markers": ("o_custkey % 4", None),
-    "family_consistency": ("CASE o_orderkey % 3 WHEN 0 THEN 0.08 WHEN 1 THEN 0.04 ELSE 0.0 END", None),
-    "completeness": ("(o_orderkey % 21) / 20.0", None),
-    "ncldv_core": ("o_orderkey % 6", None),
-    "dist_viral": ("(o_custkey % 11) / 10.0", None),
-    "has_priority": ("o_orderkey % 5 = 0", None),
-    "n_families": ("o_custkey % 3", None),
-    "tm_score": ("CASE WHEN o_orderkey % 6 = 0 THEN (o_custkey % 10) / 10.0 END", None),
+    "region_id": "o_orderkey",
+    "kfd": "(o_custkey % 40) / 100.0e0",
+    "gc_deviation": "(o_custkey % 23) / 100.0e0",
+    "hallmark_count": "o_orderkey % 9",
+    "hallmark_diversity": "o_orderkey % 6",
+    "has_mcp": "o_orderkey % 4 = 0",
+    "complement_score": "(o_orderkey % 5) / 4.0e0",
+    "has_categories": "o_orderkey % 3 <> 0",
+    "gene_count": "o_custkey % 13",
+    "viral_top10": "o_custkey % 7",
+    "ncldv_mirus_top10": "o_custkey % 3",
+    "viral_interior": "o_custkey % 5",
+    "dominant_fraction": "(o_orderkey % 11) / 10.0e0",
+    "high_conf_euk": "o_orderkey % 4",
+    "high_pident_euk": "o_orderkey % 13",
+    "host_gene_count": "o_orderkey % 5",
+    "host_fraction": "(o_orderkey % 10) / 10.0e0",
+    "interpro_score": "(o_orderkey % 8) / 7.0e0",
+    "ncldv_markers": "o_custkey % 5",
+    "vp_plv_markers": "o_custkey % 6",
+    "mirus_markers": "o_custkey % 4",
+    "family_consistency": "CASE o_orderkey % 3 WHEN 0 THEN 0.08e0 WHEN 1 THEN 0.04e0 ELSE 0.0e0 END",
+    "completeness": "(o_orderkey % 21) / 20.0e0",
+    "ncldv_core": "o_orderkey % 6",
+    "dist_viral": "(o_custkey % 11) / 10.0e0",
+    "has_priority": "o_orderkey % 5 = 0",
+    "n_families": "o_custkey % 3",
+    "tm_score": "CASE WHEN o_orderkey % 6 = 0 THEN (o_custkey % 10) / 10.0e0 END",
 }
-FEATURE_SQL = ", ".join(f"{sql} AS {name}" for name, (sql, _) in FEATURES.items())
+FEATURE_SQL = ", ".join(f"{sql} AS {name}" for name, sql in FEATURES.items())
 
 
 def features(spark, sf):
-    # the same expressions are read by both engines; a decimal literal is a double here
-    exprs = [
-        f"CAST({sql} AS DOUBLE) AS {name}" if "." in sql and name not in ("region_id",) else f"{sql} AS {name}"
-        for name, (sql, _) in FEATURES.items()
-    ]
-    return load(spark, sf, "orders").selectExpr(*exprs)
+    # the same expressions are read by both engines
+    return load(spark, sf, "orders").selectExpr(*[f"{sql} AS {name}" for name, sql in FEATURES.items()])
 
 
 SCORE = f"""f AS (SELECT {FEATURE_SQL} FROM orders),
-  s1 AS (SELECT *, CASE WHEN hallmark_count > 0 THEN least(hallmark_diversity / 5.0, 1) ELSE 0 END AS dv, has_mcp::INT AS mc,
-    0.4 * least(kfd / 0.3, 1) + 0.3 * least(gc_deviation / 0.15, 1) AS comp,
+  s1 AS (SELECT *, CASE WHEN hallmark_count > 0 THEN least(hallmark_diversity / 5.0e0, 1) ELSE 0 END AS dv, has_mcp::INT AS mc,
+    0.4e0 * least(kfd / 0.3e0, 1) + 0.3e0 * least(gc_deviation / 0.15e0, 1) AS comp,
     CASE WHEN gene_count > 0 THEN least((CASE WHEN viral_top10 > 0 THEN viral_top10 ELSE ncldv_mirus_top10 END) / gene_count, 1) ELSE 0 END AS vf,
-    CASE WHEN vp_plv_markers >= 4 OR ncldv_markers >= 3 OR mirus_markers >= 3 THEN 1.0 WHEN greatest(vp_plv_markers, ncldv_markers, mirus_markers) >= 2 THEN 0.5 ELSE 0 END AS seed,
-    CASE WHEN tm_score > 0 THEN greatest(0, least((tm_score - 0.3) / 0.4, 1)) ELSE 0 END AS st,
+    CASE WHEN vp_plv_markers >= 4 OR ncldv_markers >= 3 OR mirus_markers >= 3 THEN 1.0e0 WHEN greatest(vp_plv_markers, ncldv_markers, mirus_markers) >= 2 THEN 0.5e0 ELSE 0 END AS seed,
+    CASE WHEN tm_score > 0 THEN greatest(0, least((tm_score - 0.3e0) / 0.4e0, 1)) ELSE 0 END AS st,
     CASE WHEN gene_count > 0 THEN viral_top10 / gene_count ELSE 0 END AS vb,
     CASE WHEN gene_count > 0 THEN high_pident_euk / gene_count ELSE 0 END AS br FROM f),
-  s2 AS (SELECT *, CASE WHEN has_categories THEN 0.45 * mc + 0.35 * complement_score + 0.20 * dv ELSE 0.50 * mc + 0.30 * dv + 0.20 * least(hallmark_count / 8.0, 1) END AS mk,
-    CASE WHEN gene_count > 0 THEN least(1, 0.7 * vf + 0.3 * dominant_fraction) ELSE 0 END AS gn,
-    CASE WHEN gene_count > 0 AND high_conf_euk > 0 THEN least(high_conf_euk / gene_count * 0.20, 0.12) ELSE 0 END AS e1,
-    CASE WHEN host_gene_count > 0 AND host_fraction >= 0.3 THEN least((host_fraction - 0.3) * 0.6, 0.18) ELSE 0 END AS hp,
-    CASE WHEN dist_viral >= 0.4 THEN least(dist_viral, 0.8) ELSE 0 END AS ease,
-    CASE WHEN has_mcp THEN 0 WHEN gene_count <= 1 THEN 0.15 WHEN gene_count <= 2 THEN 0.08 WHEN gene_count <= 3 THEN 0.04 ELSE 0 END AS sz,
-    CASE WHEN comp > 0 THEN 0.18 ELSE 0 END AS wc FROM s1),
-  s3 AS (SELECT *, CASE WHEN gene_count > 0 AND br > 0.8 AND vf < 0.1 THEN greatest(e1, least(br * 0.12, 0.12)) ELSE e1 END AS eu,
-    (wc * comp + 0.24 * mk + 0.24 * gn + 0.08 * interpro_score + 0.08 * seed) / (wc + 0.64) AS base,
-    CASE WHEN mk >= 0.6 AND gn >= 0.6 THEN 0.04 ELSE 0 END + CASE WHEN seed >= 1 AND interpro_score >= 0.5 THEN 0.03 ELSE 0 END
-    + least(family_consistency, 0.05) + CASE WHEN has_mcp THEN 0.05 ELSE 0 END
-    + CASE WHEN completeness >= 0.9 THEN 0.6 WHEN completeness >= 0.7 THEN 0.4 WHEN completeness >= 0.5 THEN 0.2 ELSE 0 END
-    + CASE WHEN ncldv_core >= 4 THEN 0.2 WHEN ncldv_core >= 3 THEN 0.1 ELSE 0 END
-    + CASE WHEN dist_viral >= 0.6 THEN least(0.15, (dist_viral - 0.4) * 0.5) ELSE 0 END
-    + CASE WHEN gene_count > 0 AND vb >= 0.15 AND host_fraction < 0.10 THEN least(0.12, vb * 0.4) ELSE 0 END
-    + CASE WHEN has_priority AND n_families >= 2 THEN 0.08 WHEN has_priority AND n_families >= 1 THEN 0.06 ELSE 0 END AS bonus,
-    CASE WHEN has_priority AND n_families >= 2 THEN 0.8 WHEN has_priority AND n_families >= 1 THEN 0.7 WHEN has_priority THEN 0.55 ELSE 0 END AS flo,
-    CASE WHEN comp >= 0.6 AND seed >= 1 AND gn >= 0.7 AND mk >= 0.7 THEN 1.0 WHEN seed >= 1 AND gn >= 0.6 AND mk >= 0.6 THEN 0.99 ELSE 0.95 END AS cap FROM s2),
-  s4 AS (SELECT *, greatest(least(base + bonus + 0.15 * st - (eu * (1 - ease) + hp * (1 - ease * 0.5) + sz), cap), flo) AS raw FROM s3),
-  s5 AS (SELECT *, CASE WHEN viral_interior = 0 AND viral_top10 = 0 AND NOT has_mcp THEN least(raw, 0.05) ELSE raw END AS raw2 FROM s4),
-  scored AS (SELECT *, greatest(0, least(1, CASE WHEN gene_count > 0 AND NOT has_mcp AND vf < 0.05 THEN least(raw2, 0.19) ELSE raw2 END)) AS conf FROM s5)"""
-
-
-@query("confidence_score", f"WITH {SCORE} SELECT region_id, round(conf, 6) AS confidence FROM scored")
+  s2 AS (SELECT *, CASE WHEN has_categories THEN 0.45e0 * mc + 0.35e0 * complement_score + 0.20e0 * dv ELSE 0.50e0 * mc + 0.30e0 * dv + 0.20e0 * least(hallmark_count / 8.0e0, 1) END AS mk,
+    CASE WHEN gene_count > 0 THEN least(1, 0.7e0 * vf + 0.3e0 * dominant_fraction) ELSE 0 END AS gn,
+    CASE WHEN gene_count > 0 AND high_conf_euk > 0 THEN least(high_conf_euk / gene_count * 0.20e0, 0.12e0) ELSE 0 END AS e1,
+    CASE WHEN host_gene_count > 0 AND host_fraction >= 0.3e0 THEN least((host_fraction - 0.3e0) * 0.6e0, 0.18e0) ELSE 0 END AS hp,
+    CASE WHEN dist_viral >= 0.4e0 THEN least(dist_viral, 0.8e0) ELSE 0 END AS ease,
+    CASE WHEN has_mcp THEN 0 WHEN gene_count <= 1 THEN 0.15e0 WHEN gene_count <= 2 THEN 0.08e0 WHEN gene_count <= 3 THEN 0.04e0 ELSE 0 END AS sz,
+    CASE WHEN comp > 0 THEN 0.18e0 ELSE 0 END AS wc FROM s1),
+  s3 AS (SELECT *, CASE WHEN gene_count > 0 AND br > 0.8e0 AND vf < 0.1e0 THEN greatest(e1, least(br * 0.12e0, 0.12e0)) ELSE e1 END AS eu,
+    (wc * comp + 0.24e0 * mk + 0.24e0 * gn + 0.08e0 * interpro_score + 0.08e0 * seed) / (wc + 0.64e0) AS base,
+    CASE WHEN mk >= 0.6e0 AND gn >= 0.6e0 THEN 0.04e0 ELSE 0 END + CASE WHEN seed >= 1 AND interpro_score >= 0.5e0 THEN 0.03e0 ELSE 0 END
+    + least(family_consistency, 0.05e0) + CASE WHEN has_mcp THEN 0.05e0 ELSE 0 END
+    + CASE WHEN completeness >= 0.9e0 THEN 0.6e0 WHEN completeness >= 0.7e0 THEN 0.4e0 WHEN completeness >= 0.5e0 THEN 0.2e0 ELSE 0 END
+    + CASE WHEN ncldv_core >= 4 THEN 0.2e0 WHEN ncldv_core >= 3 THEN 0.1e0 ELSE 0 END
+    + CASE WHEN dist_viral >= 0.6e0 THEN least(0.15e0, (dist_viral - 0.4e0) * 0.5e0) ELSE 0 END
+    + CASE WHEN gene_count > 0 AND vb >= 0.15e0 AND host_fraction < 0.10e0 THEN least(0.12e0, vb * 0.4e0) ELSE 0 END
+    + CASE WHEN has_priority AND n_families >= 2 THEN 0.08e0 WHEN has_priority AND n_families >= 1 THEN 0.06e0 ELSE 0 END AS bonus,
+    CASE WHEN has_priority AND n_families >= 2 THEN 0.8e0 WHEN has_priority AND n_families >= 1 THEN 0.7e0 WHEN has_priority THEN 0.55e0 ELSE 0 END AS flo,
+    CASE WHEN comp >= 0.6e0 AND seed >= 1 AND gn >= 0.7e0 AND mk >= 0.7e0 THEN 1.0e0 WHEN seed >= 1 AND gn >= 0.6e0 AND mk >= 0.6e0 THEN 0.99e0 ELSE 0.95e0 END AS cap FROM s2),
+  s4 AS (SELECT *, greatest(least(base + bonus + 0.15e0 * st - (eu * (1 - ease) + hp * (1 - ease * 0.5e0) + sz), cap), flo) AS raw FROM s3),
+  s5 AS (SELECT *, CASE WHEN viral_interior = 0 AND viral_top10 = 0 AND NOT has_mcp THEN least(raw, 0.05e0) ELSE raw END AS raw2 FROM s4),
+  scored AS (SELECT *, greatest(0, least(1, CASE WHEN gene_count > 0 AND NOT has_mcp AND vf < 0.05e0 THEN least(raw2, 0.19e0) ELSE raw2 END)) AS conf FROM s5)"""
+
+
+@query("confidence_score", f"WITH {SCORE} SELECT region_id, round(conf + 1e-9, 6) AS confidence FROM scored")
 def confidence_score(spark, sf):
-    return sc.score(features(spark, sf)).select("region_id", F.round("final_confidence", 6).alias("confidence"))
+    return sc.score(features(spark, sf)).select("region_id", F.round(F.col("final_confidence") + 1e-9, 6).alias("confidence"))
 
 
-POLICY = f"""{SCORE}, p1 AS (SELECT *, CASE WHEN conf >= 0.7 THEN 'HIGH' WHEN conf >= 0.2 THEN 'MEDIUM' ELSE 'LOW' END AS t0 FROM scored),
+POLICY = f"""{SCORE}, p1 AS (SELECT *, CASE WHEN conf >= 0.7e0 THEN 'HIGH' WHEN conf >= 0.2e0 THEN 'MEDIUM' ELSE 'LOW' END AS t0 FROM scored),
   p2 AS (SELECT *, CASE WHEN has_priority AND t0 = 'LOW' THEN 'MEDIUM' ELSE t0 END AS t1,
-     CASE WHEN has_priority AND t0 = 'LOW' THEN greatest(conf, 0.2) ELSE conf END AS c1 FROM p1),
+     CASE WHEN has_priority AND t0 = 'LOW' THEN greatest(conf, 0.2e0) ELSE conf END AS c1 FROM p1),
   p3 AS (SELECT *, t1 IN ('HIGH', 'MEDIUM') AND region_id % 2 = 1 AND NOT (hallmark_count >= 3 OR (hallmark_count >= 1 AND has_mcp)
      OR gene_count - host_gene_count >= 5) AS demoted FROM p2),
-  policy AS (SELECT *, CASE WHEN demoted THEN 'LOW' ELSE t1 END AS tier, CASE WHEN demoted THEN least(c1, 0.199) ELSE c1 END AS final FROM p3)"""
+  policy AS (SELECT *, CASE WHEN demoted THEN 'LOW' ELSE t1 END AS tier, CASE WHEN demoted THEN least(c1, 0.199e0) ELSE c1 END AS final FROM p3)"""
 
 
 def policy(spark, sf):
@@ -284,10 +281,10 @@ def policy(spark, sf):
     return sc.apply_policy(d)
 
 
-@query("tier_policy", f"WITH {POLICY} SELECT region_id, tier, round(final, 6) AS confidence, demoted FROM policy")
+@query("tier_policy", f"WITH {POLICY} SELECT region_id, tier, round(final + 1e-9, 6) AS confidence, demoted FROM policy")
 def tier_policy(spark, sf):
     return policy(spark, sf).select(
-        "region_id", F.col("confidence_tier").alias("tier"), F.round("final_confidence", 6).alias("confidence"), "demoted"
+        "region_id", F.col("confidence_tier").alias("tier"), F.round(F.col("final_confidence") + 1e-9, 6).alias("confidence"), "demoted"
     )
 
 
@@ -334,7 +331,8 @@ def quality_gate(spark, sf):
       WHEN kept THEN 'kept' ELSE 'normal_gate_rejected' END AS outcome FROM k LEFT JOIN l ON l.id = k.region_id""",
 )
 def overlap_arbitration(spark, sf):
-    return sel.arbitrate(candidates(spark, sf), KEYS, 2 * G).select("region_id", "kept", "outcome")
+    # candidates are a stage table: scored once, then read by every branch below
+    return sel.arbitrate(cut(candidates(spark, sf)), KEYS, 2 * G).select("region_id", "kept", "outcome")
 
 
 def candidates(spark, sf):

@@ -1,4 +1,11 @@
 """Importing this module fills the query catalogue."""
 
-from . import candidate_queries, fingerprint_queries, hit_queries, interval_queries, sequence_queries  # noqa: F401
+from . import (  # noqa: F401
+    candidate_queries,
+    fingerprint_queries,
+    hit_queries,
+    interval_queries,
+    region_queries,
+    sequence_queries,
+)
 from .registry import QUERIES, SQL  # noqa: F401
