@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import overlapping_tiles
+from ..session import cut
 from .ordered import prefix_scan
 
 BIN = "_bin"
@@ -239,7 +240,8 @@ def typed_islands(
     fold is the same as islands inside maximal runs of one kind.
     """
     order = ["start", *tie]
-    d = prefix_scan(df, keys, "start", order, {"_pk": ("lag", F.col(kind))}, width)
+    # three scans follow; a stage boundary keeps them from replanning their input each time
+    d = prefix_scan(cut(df), keys, "start", order, {"_pk": ("lag", F.col(kind))}, width)
     d = d.withColumn("_break", F.col("_pk").isNull() | (F.col("_pk") != F.col(kind)))
     d = _number(d, keys, order, width, "_break", "_run").drop("_pk")
     run_keys = [*keys, "_run"]

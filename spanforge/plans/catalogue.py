@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     candidate_queries,
     fingerprint_queries,
+    graph_queries,
     hit_queries,
     interval_queries,
     region_queries,

@@ -9,6 +9,7 @@ from ..operators import refine as rf
 from ..operators import regions as rg
 from ..operators.neighbors import region_genes
 from ..operators.ordered import ordinal
+from ..session import cut
 from .candidate_queries import G, SEEDS, seeds
 from .fingerprint_queries import HOST, gene_fingerprints, host_model, jaccard_sql
 from .hit_queries import CAPSID, SUMMARY, VALID_CTES, placed_markers, summary, validated
@@ -74,7 +75,7 @@ def _anchor_seeds(spark, sf):
 def seed_diversity(spark, sf):
     from functools import reduce
 
-    s = _anchor_seeds(spark, sf)
+    s = cut(_anchor_seeds(spark, sf))  # read once per mode
     parts = [rg.diversity_filter(s, m).withColumn("mode", F.lit(m)) for m in ("default", "fragmented", "relaxed", "strict")]
     return reduce(lambda a, b: a.unionByName(b), parts).groupBy("mode", "accepted_by", "family").agg(F.count(F.lit(1)).alias("n"))
 
@@ -223,15 +224,13 @@ def gene_labels(spark, sf):
 
 @query("host_edge_trim")
 def host_edge_trim(spark, sf):
-    from ..session import cut
-
     g = cut(labelled_region_genes(spark, sf).select("region_id", "role", F.col("gene_idx").alias("pos"), "distance", "start", "end", "label"))
     b = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end"))
     return rf.host_edge_trim(b, g, ["region_id"])
 
 
 def refinement_inputs(spark, sf):
-    g = labelled_region_genes(spark, sf).select("region_id", "role", F.col("gene_idx").alias("pos"), "distance", "start", "end", "viral", "host")
+    g = cut(labelled_region_genes(spark, sf).select("region_id", "role", F.col("gene_idx").alias("pos"), "distance", "start", "end", "viral", "host"))
     env = g.groupBy("region_id").agg(F.min("start").alias("flank_start"), F.max("end").alias("flank_end"))
     s = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end")).join(env, "region_id")
     return s, g
