@@ -77,7 +77,7 @@ def gff_escape(c: Column) -> Column:
 
 
 def lineage_levels(lineage: Column) -> Column:
-    return F.filter(F.transform(F.split(lineage, r"\|"), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(lineage, r"\|"), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def lineage_tokens(lineage: Column, min_len: int = 3) -> Column:

@@ -276,7 +276,7 @@ POLICY = f"""{SCORE}, p1 AS (SELECT *, CASE WHEN conf >= 0.7e0 THEN 'HIGH' WHEN
 
 
 def policy(spark, sf):
-    d = sc.score(features(spark, sf))
+    d = cut(sc.score(features(spark, sf)))
     d = d.withColumn("sources", F.when(F.col("region_id") % 2 == 1, F.array(F.lit("novelty"))).otherwise(F.array(F.lit("hhg"))))
     return sc.apply_policy(d)
 
@@ -300,7 +300,8 @@ GATE = f"""{POLICY}, gd AS (SELECT *, {CLASS_OF} AS cls, (region_id % 17) * 500
 
 
 def gated(spark, sf):
-    d = policy(spark, sf).withColumn("cls", F.expr(CLASS_OF)).withColumn("len", F.expr("(region_id % 17) * 500"))
+    # scored candidates are a stage table; a filter on the gate would otherwise carry the whole formula
+    d = cut(policy(spark, sf)).withColumn("cls", F.expr(CLASS_OF)).withColumn("len", F.expr("(region_id % 17) * 500"))
     decision = sc.gate(
         F.col("confidence_tier"), F.col("cls"), F.col("len"), F.col("hallmark_count"),
         F.greatest(F.lit(0), F.col("hallmark_count") - 1), F.col("has_mcp"), F.col("n_families") > 0,

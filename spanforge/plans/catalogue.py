@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     hit_queries,
     interval_queries,
     region_queries,
+    report_queries,
     sequence_queries,
 )
 from .registry import QUERIES, SQL  # noqa: F401

@@ -288,3 +288,60 @@ def marker_floor(spark, sf):
         F.floor((F.col("start") + F.col("end")) / 2).alias("mid"), (F.col("ordinal") % 2 == 0).alias("rescued"),
     )
     return rf.marker_floor(b, m, KEYS, G)
+
+
+# ------------------------------------------------------------------ learned refinement
+
+
+def learning_rows(spark, sf):
+    from ..operators import fingerprints as fp
+    from ..operators import learn
+
+    score = fp.jaccard(gene_fingerprints(spark, sf), host_model(spark, sf), ["genome_id", "gene_id"], ["genome_id"], True, "host_score")
+    g = gene_taxonomy(spark, sf).join(score, ["genome_id", "gene_id"], "left")
+    d = learn.gene_features(g).join(indexed(spark, sf).select("gene_id", "gene_idx"), "gene_id")
+    base = region_genes(seeds(spark, sf), d, KEYS, "region_id", 5, G)
+    base = base.withColumn("label", F.when(F.col("role") == "interior", 1).otherwise(-1))
+    near = learn.neighbour_features(base, ["region_id"], "gene_idx")
+    far = d.join(base.select("gene_id").distinct(), "gene_id", "left_anti").withColumn("label", F.lit(0)).withColumn("region_id", F.lit(-1).cast("bigint"))
+    zero = [F.lit(0.0).alias(c) for c in ("neighbor_viral_fraction_mean", "neighbor_host_score_mean", "neighbor_host_top1_fraction")]
+    cols = ["region_id", "gene_id", "start", "end", "label", *learn.FEATURES]
+    own = [c for c in cols if not c.startswith("neighbor_")]
+    return cut(near.select(*cols).unionByName(far.select(*own, *zero)))
+
+
+@query("learned_refinement")
+def learned_refinement(spark, sf):
+    from ..operators import learn
+
+    rows = learning_rows(spark, sf)
+    scored = learn.fit_and_score(rows).filter("region_id >= 0")
+    env = rows.filter("region_id >= 0").groupBy("region_id").agg(F.min("start").alias("flank_start"), F.max("end").alias("flank_end"))
+    s = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end")).join(env, "region_id")
+    return learn.new_bounds(s, scored, ["region_id"])
+
+
+@query(
+    "heuristic_probability",
+    f"""WITH {HOST}, {jaccard_sql('model', True)}, {SUMMARY}, w AS (SELECT gene_id, sum(CASE WHEN prefix = 'EUK__' THEN 10 - rank ELSE 0 END) AS h,
+       sum(CASE WHEN prefix NOT IN ('EUK__', 'BAC__', 'ARC__', 'MITO__') AND pident >= 25 THEN 10 - rank ELSE 0 END) AS v FROM ranked GROUP BY gene_id),
+    x AS (SELECT g.gene_id, coalesce(v, 0) + coalesce(has_viral, false)::INT AS v, coalesce(h, 0) + coalesce(sc.score, 0) AS h, coalesce(top1_prefix = 'EUK__', false) AS th, coalesce(has_viral, false) AS hv
+       FROM genes g LEFT JOIN w ON w.gene_id = g.gene_id LEFT JOIN summary s ON s.gene_id = g.gene_id LEFT JOIN score sc ON sc.gene_id = g.gene_id)
+    SELECT gene_id, round(CASE WHEN v + h > 0 THEN v / (v + h) ELSE hv::INT END * CASE WHEN th AND NOT hv THEN 0.5e0 ELSE 1 END, 6) AS probability FROM x""",
+)
+def heuristic_probability(spark, sf):
+    from ..operators import fingerprints as fp
+    from ..operators import learn
+
+    score = fp.jaccard(gene_fingerprints(spark, sf), host_model(spark, sf), ["genome_id", "gene_id"], ["genome_id"], True, "host_score")
+    g = gene_taxonomy(spark, sf).join(score, ["genome_id", "gene_id"], "left")
+    return learn.heuristic_probability(learn.gene_features(g)).select("gene_id", F.round("probability", 6).alias("probability"))
+
+
+@query("host_rule_arm")
+def host_rule_arm(spark, sf):
+    """Seeds whose bounds change when the host rules are off."""
+    from ..operators.arms import coordinate_effects
+
+    s, g = refinement_inputs(spark, sf)
+    return coordinate_effects(rf.refine_by_taxonomy(s, g, ["region_id"]), rf.refine_by_taxonomy(s, g, ["region_id"], use_host=False), "A4", ["region_id"])

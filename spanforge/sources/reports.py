@@ -13,6 +13,170 @@ from ..functions.seq import overlapping_tiles
 
 
 
+HIT_FIELDS = ["target", "evalue", "bits", "pident", "qcov"]
+
+
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with ``ordinal``, their order in the files.
+
+    Tasks read file blocks in no particular order, so the order is the file, the
+    block offset, then the position met while reading the block.
+    """
+    d = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.file_block_start").alias("_b"))
+    return d.withColumn("ordinal", F.struct("_f", "_b", F.monotonically_increasing_id().alias("_i"))).drop("_f", "_b")
+
+
+def fields(lines: DataFrame, names: list[str], types: list[str], sep: str = "\t", at: list[int] | None = None, minimum: int | None = None) -> DataFrame:
+    """Typed columns of separated text; short rows and unreadable numbers are dropped."""
+    rest = [c for c in lines.columns if c != "value"]
+    d = lines.withColumn("_p", F.split("value", sep))
+    d = d.filter(F.size("_p") >= (minimum or len(names)))
+    at = at or list(range(len(names)))
+    cols = [(F.col("_p")[i] if t == "string" else F.col("_p")[i].try_cast(t)).alias(n) for i, n, t in zip(at, names, types)]
+    return d.select(*cols, *rest).dropna(subset=[n for n, t in zip(names, types) if t != "string"] or None)
+
+
+def parse_hits(lines: DataFrame) -> DataFrame:
+    """Six-column ranked hits."""
+    d = fields(lines, ["gene_id", *HIT_FIELDS], ["string", "string", "double", "double", "double", "double"])
+    from ..functions.text import known_prefix
+
+    return d.withColumn("prefix", known_prefix(F.col("target")))
+
+
+def parse_wide_hits(lines: DataFrame) -> DataFrame:
+    """Twelve-column hits."""
+    names = ["gene_id", "target", "pident", "length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "evalue", "bits"]
+    return fields(lines, names, ["string", "string", "double"] + ["int"] * 7 + ["double", "double"])
+
+
+def parse_frameshift(lines: DataFrame) -> DataFrame:
+    """Frameshift hits: 18 blank-separated columns, rows without events dropped."""
+    names = [
+        "hit_id", "target_name", "target_accession", "query_name", "query_accession", "hmm_len", "hmm_from", "hmm_to", "seq_len",
+        "ali_from", "ali_to", "evalue", "score", "bias", "pid", "shifts", "stops",
+    ]
+    types = ["string"] * 5 + ["int"] * 6 + ["double"] * 4 + ["int"] * 2
+    live = lines.filter((F.trim("value") != "") & ~F.startswith("value", F.lit("#")))
+    d = live.withColumn("_p", F.split(F.ltrim("value"), r"\s+", 18))
+    checked = F.when(F.size("_p") >= 17, F.col("_p")).otherwise(F.raise_error(F.concat(F.lit("bad frameshift row: "), F.col("value"))).cast("array<string>"))
+    d = d.withColumn("_p", checked)
+    # strict casts: an unreadable number is an error, not a lost row
+    cols = [F.col("_p")[i].cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
+    d = d.select(*cols, F.coalesce(F.try_element_at("_p", F.lit(18)), F.lit("")).alias("description"))
+    return (
+        d.filter((F.col("shifts") > 0) | (F.col("stops") > 0))
+        .withColumn("start", (F.least("ali_from", "ali_to") - 1).cast("bigint"))
+        .withColumn("end", F.greatest("ali_from", "ali_to").cast("bigint"))
+        .withColumn("strand", F.when(F.col("ali_from") <= F.col("ali_to"), "+").otherwise("-"))
+        .withColumn("model_coverage", (F.col("hmm_to") - F.col("hmm_from") + 1) / F.col("hmm_len"))
+    )
+
+
+def read_tandem_repeats(spark: SparkSession, path: str) -> DataFrame:
+    return parse_tandem_repeats(spark.read.option("lineSep", "Sequence:").text(path))
+
+
+def parse_tandem_repeats(records: DataFrame) -> DataFrame:
+    """Repeats of a report cut at its ``Sequence:`` marks; text before the first is preamble."""
+    lines = F.split("value", r"\r?\n")
+    d = records.filter(F.trim("value").rlike(r"(?s)^\S+.*\n")).select(F.regexp_extract("value", r"^\s*(\S+)", 1).alias("seq_id"), F.explode(F.slice(lines, 2, 100000000)).alias("l"))
+    p = F.split(F.trim("l"), r"\s+")
+    return d.filter(F.trim("l").rlike(r"^[+-]?\d") ).select(
+        "seq_id", (p[0].cast("bigint") - 1).alias("start"), p[1].cast("bigint").alias("end"),
+        F.coalesce(F.concat(F.lit("period="), F.try_element_at(p, F.lit(3))), F.lit("")).alias("annotation"),
+    )
+
+
+def parse_labels(lines: DataFrame) -> DataFrame:
+    return fields(lines.select("value"), ["org_id", "lineage"], ["string", "string"])
+
+
+def parse_domains(lines: DataFrame) -> DataFrame:
+    """Domain annotations: thirteen or more columns, ``#`` comments."""
+    live = lines.select("value").filter(~F.startswith("value", F.lit("#")))
+    return fields(
+        live, ["protein_id", "signature", "signature_desc", "accession", "accession_desc"], ["string"] * 5, at=[0, 4, 5, 11, 12], minimum=13
+    )
+
+
+def parse_structure_hits(lines: DataFrame) -> DataFrame:
+    names = ["query", "target", "evalue", "bits", "qcov", "tcov", "lddt", "tm"]
+    return fields(lines.select("value"), names, ["string", "string"] + ["double"] * 6)
+
+
+def read_named_table(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
+    """A table with a header, which must carry the required columns."""
+    d = spark.read.option("header", True).option("sep", "\t").csv(path)
+    missing = sorted(set(required) - set(d.columns))
+    if missing:
+        raise ValueError(f"{path} lacks columns {missing}")
+    return d
+
+
+def parse_signatures(table: DataFrame) -> DataFrame:
+    """(model, required domains, scope) with empty list items removed."""
+    sig = F.filter(F.split(F.coalesce("pfam_signature", F.lit("")), ";"), lambda x: x != "")
+    scope = F.trim("source_scope")
+    return table.filter(F.trim("model_name") != "").select(
+        F.trim("model_name").alias("model"), F.when(scope == "CRESS-Rep", F.array(F.lit("Gemini_AL1"))).otherwise(sig).alias("required"), scope.alias("scope")
+    )
+
+
+def parse_model_annotations(table: DataFrame) -> DataFrame:
+    """Categories and family per model from its free text."""
+    from ..functions.text import keyword_tags, model_family
+
+    text = F.concat_ws(" ", "model_name", "description", "majority_annotation")
+    return table.select(
+        F.lower(F.trim("model_name")).alias("model"), keyword_tags(text).alias("categories"),
+        model_family(F.col("model_name"), F.col("source"), F.col("description")).alias("family"),
+    )
+
+
+def parse_classifier_domains(c: Column) -> Column:
+    """``dom:count(pct%)`` lists as structs, first one primary."""
+    items = F.regexp_extract_all(c, F.lit(r"(\w+:\d+\([\d.]+%\))"), F.lit(1))
+    pattern = r"(\w+):(\d+)\(([\d.]+)%\)"
+    return F.transform(
+        items,
+        lambda x: F.struct(
+            F.regexp_extract(x, pattern, 1).alias("domain"), F.regexp_extract(x, pattern, 2).cast("int").alias("n"),
+            F.regexp_extract(x, pattern, 3).cast("double").alias("percent"),
+        ),
+    )
+
+
+def read_name_list(spark: SparkSession, path: str) -> DataFrame:
+    """Marker names, one per line; ``#`` starts a comment."""
+    d = spark.read.text(path).select(F.trim(F.regexp_replace("value", r"#.*$", "")).alias("model"))
+    return d.filter(F.col("model") != "").distinct()
+
+
+def read_edges(spark: SparkSession, path: str) -> DataFrame:
+    """Published similarity edges; an unreadable row fails the read."""
+    schema = "a string, b string, ani double, af_a double, af_b double"
+    return spark.read.schema(schema).options(sep="\t", header=True, mode="FAILFAST").csv(path)
+
+
+def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("id", "vec", "protein_name", "organism", "lineage", "keywords")
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """A stage table (markers, seeds, folds, embedding hits) written by this library."""
+    return spark.read.parquet(path)
+
+
+def read_id_map(spark: SparkSession, path: str) -> DataFrame:
+    """Encoded stem to id; a stem with two ids is an error."""
+    d = spark.read.option("header", True).option("sep", "\t").csv(path).select("stem", "id").distinct()
+    clash = d.groupBy("stem").agg(F.countDistinct("id").alias("n")).filter("n > 1").select("stem").limit(3).collect()
+    if clash:
+        raise ValueError(f"id map names several ids for {[r['stem'] for r in clash]}")
+    return d
+
+
 RUN_TILE = 512
 
 
