@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from ..functions import text, vocab
 from ..operators import fingerprints as fp
 from ..operators import hits as ho
+from ..session import cut
 from .hit_queries import RESOLVED, SUMMARY, resolved, summary
 from .registry import query
-from .tables import GENES, HITS, LABELS, MARKERS, RANKED, VIRAL_LIST, genes, hits, labels, markers
+from .tables import GENES, HITS, LABELS, MARKERS, RANKED, genes, labels, markers
 
 DOMAIN = ", ".join(f"'{t}'" for t in vocab.DOMAIN_TOKENS)
 PLACEHOLDER = ", ".join(f"'{t}'" for t in vocab.PLACEHOLDER_TOKENS)
@@ -26,8 +27,13 @@ FP = f"""{BASE}, fp AS (SELECT g.genome_id, t.gene_id, token, sum(weight) AS wei
    FROM tok t JOIN genes g ON g.gene_id = t.gene_id GROUP BY ALL)"""
 
 
-def gene_fingerprints(spark, sf):
-    tokens = fp.hit_tokens(resolved(spark, sf))
+def staged_hits(spark, sf):
+    """Ranked hits with organism and lineage: a stage table, since model and scores both read it."""
+    return cut(resolved(spark, sf))
+
+
+def gene_fingerprints(spark, sf, ranked=None):
+    tokens = fp.hit_tokens(resolved(spark, sf) if ranked is None else ranked)
     return fp.fingerprint(tokens.join(genes(spark, sf).select("genome_id", "gene_id"), "gene_id"), ["genome_id", "gene_id"])
 
 
@@ -56,12 +62,17 @@ HOST = f"""{FP}, {MARKERS},
     list_slice(list_sort(list(weight), 'DESC'), 1, 3) AS top_weights FROM htok WHERE token NOT IN ({DOMAIN}) GROUP BY ALL)"""
 
 
-def host_model(spark, sf, top_weights=10):
-    ranked = ho.rank_hits(hits(spark, sf))
+def host_model(spark, sf, top_weights=10, ranked=None):
+    ranked = staged_hits(spark, sf) if ranked is None else ranked
     placed = markers(spark, sf).join(genes(spark, sf).select("genome_id", "gene_id"), "gene_id")
     host_hits = fp.host_model_hits(placed, ranked, ho.gene_hits(ranked))
-    tokens = fp.hit_tokens(ho.resolve_organisms(host_hits, labels(spark, sf)))
-    return fp.host_model(tokens, top_weights=top_weights)
+    return fp.host_model(fp.hit_tokens(host_hits), top_weights=top_weights)
+
+
+def host_scores(spark, sf, out="score"):
+    ranked = staged_hits(spark, sf)
+    f, m = gene_fingerprints(spark, sf, ranked), host_model(spark, sf, ranked=ranked)
+    return fp.jaccard(f, m, ["genome_id", "gene_id"], ["genome_id"], True, out)
 
 
 @query(
@@ -103,7 +114,7 @@ def jaccard_sql(base: str, drop: bool) -> str:
     f"WITH {HOST}, {jaccard_sql('model', True)} SELECT genome_id, gene_id, round(score, 6) AS score FROM score",
 )
 def host_signature_score(spark, sf):
-    scored = fp.jaccard(gene_fingerprints(spark, sf), host_model(spark, sf), ["genome_id", "gene_id"], ["genome_id"], True)
+    scored = host_scores(spark, sf)
     return scored.select("genome_id", "gene_id", F.round("score", 6).alias("score"))
 
 
@@ -179,7 +190,7 @@ def control_stats(spark, sf):
         ELSE 0 END, 6) AS weighted_mean FROM d GROUP BY ALL""",
 )
 def host_density(spark, sf):
-    score = fp.jaccard(gene_fingerprints(spark, sf), host_model(spark, sf), ["genome_id", "gene_id"], ["genome_id"], True)
+    score = host_scores(spark, sf)
     d = ho.with_no_hits(genes(spark, sf), summary(spark, sf)).join(score, ["genome_id", "gene_id"], "left")
     has_host = F.coalesce(F.exists("top10", lambda h: h["prefix"] == "EUK__"), F.lit(False))
     out = fp.host_density(d.withColumn("has_host", has_host), ["genome_id", "scaffold"], 0.3)

@@ -11,7 +11,7 @@ from ..operators.neighbors import region_genes
 from ..operators.ordered import ordinal
 from ..session import cut
 from .candidate_queries import G, SEEDS, seeds
-from .fingerprint_queries import HOST, gene_fingerprints, host_model, jaccard_sql
+from .fingerprint_queries import HOST, host_scores, jaccard_sql
 from .hit_queries import CAPSID, SUMMARY, VALID_CTES, placed_markers, summary, validated
 from .registry import query
 from .tables import GENES, KEYS, MARKERS, genes
@@ -120,9 +120,7 @@ def seed_gene_extension(spark, sf):
 
 
 def scored_genes(spark, sf):
-    from ..operators import fingerprints as fp
-
-    score = fp.jaccard(gene_fingerprints(spark, sf), host_model(spark, sf), ["genome_id", "gene_id"], ["genome_id"], True, "host_score")
+    score = host_scores(spark, sf, "host_score")
     g = gene_taxonomy(spark, sf).select(*KEYS, "gene_id", "start", "end", "has_hit", F.col("has_qualified").alias("viral"), "top10", "top1_target")
     return g.join(score, ["genome_id", "gene_id"], "left").fillna(0.0, ["host_score"])
 
@@ -294,10 +292,9 @@ def marker_floor(spark, sf):
 
 
 def learning_rows(spark, sf):
-    from ..operators import fingerprints as fp
     from ..operators import learn
 
-    score = fp.jaccard(gene_fingerprints(spark, sf), host_model(spark, sf), ["genome_id", "gene_id"], ["genome_id"], True, "host_score")
+    score = host_scores(spark, sf, "host_score")
     g = gene_taxonomy(spark, sf).join(score, ["genome_id", "gene_id"], "left")
     d = learn.gene_features(g).join(indexed(spark, sf).select("gene_id", "gene_idx"), "gene_id")
     base = region_genes(seeds(spark, sf), d, KEYS, "region_id", 5, G)
@@ -330,10 +327,9 @@ def learned_refinement(spark, sf):
     SELECT gene_id, round(CASE WHEN v + h > 0 THEN v / (v + h) ELSE hv::INT END * CASE WHEN th AND NOT hv THEN 0.5e0 ELSE 1 END, 6) AS probability FROM x""",
 )
 def heuristic_probability(spark, sf):
-    from ..operators import fingerprints as fp
     from ..operators import learn
 
-    score = fp.jaccard(gene_fingerprints(spark, sf), host_model(spark, sf), ["genome_id", "gene_id"], ["genome_id"], True, "host_score")
+    score = host_scores(spark, sf, "host_score")
     g = gene_taxonomy(spark, sf).join(score, ["genome_id", "gene_id"], "left")
     return learn.heuristic_probability(learn.gene_features(g)).select("gene_id", F.round("probability", 6).alias("probability"))
 

@@ -433,3 +433,15 @@ def parquet_stage(spark, sf):
 
     g = sinks.write_stage(genes(spark, sf), shared_path(spark, "genes"))
     return g.groupBy("genome_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start")).alias("bp"))
+
+
+@query("genome_batch")
+def genome_batch(spark, sf):
+    """All genomes from tables to published candidates in one job."""
+    from . import genomes as gn
+
+    g = genes(spark, sf)
+    lengths = g.groupBy(*KEYS).agg((F.max("end") + 2000).alias("seq_len"))
+    x = gn.Inputs(g.select(*KEYS, "gene_id", "start", "end"), hits(spark, sf), markers(spark, sf), lengths)
+    out = gn.run(spark, x)
+    return out.select("genome_id", "scaffold", "region_id", "start", "end", "confidence_tier", "final_confidence", "published_class", "kept", "outcome")
