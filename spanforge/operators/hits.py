@@ -137,8 +137,9 @@ def arbitrate_models(markers: DataFrame, domains: DataFrame, annotations: DataFr
 
 def apply_arbitration(markers: DataFrame, outcomes: DataFrame, key: str = "gene_id") -> DataFrame:
     """Drop the hits an arbitration decided against; keep the last hit of the winner."""
-    last = F.max("ordinal").over(Window.partitionBy(key, "model"))
-    d = markers.withColumn("_last", F.col("ordinal") == last).join(outcomes.select(key, "final_model", "outcome"), key, "left")
+    last = markers.groupBy(key, "model").agg(F.max("ordinal").alias("_o"))
+    d = markers.join(last, [key, "model"]).withColumn("_last", F.col("ordinal") == F.col("_o")).drop("_o")
+    d = d.join(outcomes.select(key, "final_model", "outcome"), key, "left")
     chosen = F.col("_last") & (F.col("model") == F.col("final_model"))
     return d.filter(F.col("outcome").isNull() | F.coalesce(chosen, F.lit(False))).drop("_last", "final_model", "outcome")
 

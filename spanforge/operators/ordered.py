@@ -20,7 +20,7 @@ CHUNK = "_chunk"
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
 
 
-def chunk_of(pos: Column, width: int) -> Column:
+def chunk_of(pos: Column, width: float) -> Column:
     return F.floor(pos / F.lit(width)).cast("bigint")
 
 
@@ -30,7 +30,7 @@ def prefix_scan(
     pos: str,
     order: Sequence[str],
     scans: Mapping[str, tuple[str, Column]],
-    width: int,
+    width: float,
     inclusive: bool = False,
     descending: bool = False,
 ) -> DataFrame:

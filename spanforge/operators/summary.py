@@ -4,27 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from .ordered import prefix_scan
+
+
+def medians(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+    """Exact median per key.
+
+    Rows are numbered by value in chunks of ``width``, so the values of a large group
+    are never held together; the middle one or two rows make the median.
+    """
+    d = prefix_scan(df.select(*keys, value), keys, value, [value], {"_i": ("count", F.lit(1))}, width)
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    mid = (F.col("_i") == F.floor((F.col("_n") - 1) / 2)) | (F.col("_i") == F.floor(F.col("_n") / 2))
+    return d.join(n, list(keys)).filter(mid).groupBy(*keys).agg(F.avg(value).alias("median"))
 
 
 def run_summary(df: DataFrame) -> DataFrame:
-    """Whole-run and per-scaffold counts, lengths and confidences in one pass."""
-    return (
-        df.groupingSets([["genome_id"], ["genome_id", "scaffold"]], "genome_id", "scaffold")
-        .agg(
+    """Whole-genome and per-scaffold counts, lengths and confidences."""
+    grains = []
+    for keys in (["genome_id"], ["genome_id", "scaffold"]):
+        counts = df.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("predictions"),
             F.count_if(F.col("confidence_tier") == "HIGH").alias("high"),
             F.count_if(F.col("confidence_tier") == "MEDIUM").alias("medium"),
             F.count_if(F.col("confidence_tier") == "LOW").alias("low"),
             F.sum(F.col("end") - F.col("start")).alias("total_length"),
             F.avg("final_confidence").alias("mean_confidence"),
-            F.percentile("final_confidence", F.lit(0.5)).alias("median_confidence"),
-            F.grouping("scaffold").cast("int").alias("is_total"),
         )
-    )
+        d = counts.join(medians(df, keys, "final_confidence", 0.01), keys).withColumnRenamed("median", "median_confidence")
+        grains.append(d.withColumn("is_total", F.lit(int(len(keys) == 1))))
+    return grains[0].unionByName(grains[1], allowMissingColumns=True)
 
 
 def batch_summary(df: DataFrame) -> DataFrame:
@@ -40,11 +53,11 @@ def batch_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def length_statistics(df: DataFrame, keys: Sequence[str], length: str = "length") -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(length).alias("min_len"), F.percentile(length, F.lit(0.5)).alias("median_len"),
-        F.max(length).alias("max_len"), F.avg(length).alias("mean_len"),
+def length_statistics(df: DataFrame, keys: Sequence[str], length: str = "length", width: int = 64) -> DataFrame:
+    d = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(length).alias("min_len"), F.max(length).alias("max_len"), F.avg(length).alias("mean_len")
     )
+    return d.join(medians(df, keys, length, width), list(keys)).withColumnRenamed("median", "median_len")
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFrame:

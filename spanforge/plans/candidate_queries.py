@@ -108,14 +108,10 @@ def region_markers(spark, sf):
     FROM ids LEFT JOIN mk USING (region_id) LEFT JOIN top USING (region_id)""",
 )
 def class_vote(spark, sf):
-    from pyspark.sql import Window
-
-    rm = region_markers(spark, sf)
-    w = Window.partitionBy("region_id", "gene_id").orderBy(F.col("capsid").desc(), F.col("score").desc(), F.col("ordinal"))
     rm = (
-        rm.withColumn("capsid", text.is_capsid(F.col("model")))
+        vt.mark_leads(region_markers(spark, sf), ["region_id"])
+        .withColumn("capsid", text.is_capsid(F.col("model")))
         .withColumn("vote", hx.single_vote(hx.qualified_classes(F.col("top10"))))
-        .withColumn("lead", F.row_number().over(w) == 1)
         .select("region_id", "gene_id", "vote", "capsid", "status", "lead")
     )
     second = (
@@ -369,3 +365,100 @@ def contig_edge(spark, sf):
     lengths = g.groupBy(*KEYS).agg((F.max("end") + 2000).alias("n"))
     left, right = sc.contig_edge(F.col("start"), F.col("end"), F.col("n"))
     return g.join(lengths, KEYS).select("gene_id", left.alias("at_start"), right.alias("at_end"))
+
+
+# ------------------------------------------------------------------ further evidence
+
+
+@query(
+    "neighbourhood_acceptance",
+    f"""WITH {GENES}, {HITS}, {RANKED}, {SUMMARY}, {MARKERS}, {SEEDS}, idx AS (SELECT *, row_number() OVER (PARTITION BY genome_id, scaffold ORDER BY "start", "end", gene_id) - 1 AS i FROM genes),
+    t AS (SELECT r.region_id, r.genome_id, r.scaffold, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id AND g.scaffold = r.scaffold
+       AND g."start" < r.r_end AND g."end" > r.r_start GROUP BY ALL),
+    mk AS (SELECT gene_id, bool_or({CAPSID}) AS capsid FROM markers GROUP BY gene_id),
+    a AS (SELECT region_id, count(*) AS n, count(*) FILTER (max_validated_pident >= 25) AS v, count(*) FILTER (max_validated_pident >= 25 AND mk.gene_id IS NULL) AS nm,
+       coalesce(bool_or(capsid), false) AS mcp FROM t JOIN idx g ON g.genome_id = t.genome_id AND g.scaffold = t.scaffold AND g.i BETWEEN lo - 2 AND hi + 2
+       LEFT JOIN summary s ON s.gene_id = g.gene_id LEFT JOIN mk ON mk.gene_id = g.gene_id GROUP BY region_id),
+    c AS (SELECT *, CASE WHEN n < 2 THEN NULL WHEN n >= 5 AND v >= 3 AND nm >= 2 THEN CASE WHEN mcp THEN 'HIGH' ELSE 'MEDIUM' END WHEN n >= 5 AND mcp AND v >= 2 AND nm >= 1 THEN 'MEDIUM'
+       WHEN n < 5 AND v / n >= 0.2 AND v >= 2 AND nm >= 1 THEN CASE WHEN mcp AND v >= 3 THEN 'HIGH' ELSE 'MEDIUM' END END AS call FROM a)
+    SELECT region_id, n AS n_genes, v AS n_viral, call IS NOT NULL AS accepted, coalesce(call, 'LOW') AS confidence FROM c""",
+)
+def neighbourhood_acceptance(spark, sf):
+    from ..operators.neighbors import region_genes
+    from ..operators.ordered import ordinal
+    from .tables import markers
+
+    ix = ordinal(genes(spark, sf).select(*KEYS, "gene_id", "start", "end"), KEYS, "start", ["start", "end", "gene_id"], G)
+    mk = markers(spark, sf).groupBy("gene_id").agg(F.bool_or(text.is_capsid(F.col("model"))).alias("capsid"))
+    viral = summary(spark, sf).select("gene_id", (F.col("max_validated_pident") >= 25).alias("viral"))
+    rows = region_genes(seeds(spark, sf), ix, KEYS, "region_id", 2, G).join(viral, "gene_id", "left").join(mk, "gene_id", "left")
+    rows = rows.withColumn("marker", F.col("capsid").isNotNull()).fillna(False, ["viral", "capsid"])
+    return vt.neighbourhood_call(rows, ["region_id"], 2)
+
+
+@query(
+    "protein_groups",
+    f"""WITH {VALID_CTES}, {SEEDS}, {REGION_MARKERS}, p AS (SELECT region_id, gene_id, CASE WHEN model ILIKE 'gvogm%' THEN 'GVOGm' WHEN model ILIKE 'og%' THEN 'OG' ELSE 'OTHER' END AS grp,
+       bool_or(status IN ('validated', 'validated_novel')) AS ok FROM rm GROUP BY ALL)
+    SELECT region_id, grp, count(*) FILTER (ok) AS validated, count(*) FILTER (NOT ok) AS unvalidated FROM p GROUP BY ALL""",
+)
+def protein_groups(spark, sf):
+    return vt.protein_groups(region_markers(spark, sf), ["region_id"])
+
+
+@query(
+    "structural_support",
+    f"""WITH {GENES}, {HITS}, {SEEDS}, tm AS (SELECT gene_id, max(pident) / 100 AS tm FROM hits WHERE qcov >= 40 GROUP BY gene_id),
+    b AS (SELECT r.region_id, coalesce(max(tm), 0) AS best, count(tm) AS n_hits FROM genes g JOIN seeds r ON g.genome_id = r.genome_id AND g.scaffold = r.scaffold
+       AND g."start" < r.r_end AND g."end" > r.r_start LEFT JOIN tm ON tm.gene_id = g.gene_id GROUP BY r.region_id)
+    SELECT region_id, n_hits, CASE WHEN best >= 0.5 THEN best ELSE 0 END AS structural_score, best >= 0.5 AS has_support FROM b""",
+)
+def structural_support(spark, sf):
+    tm = hits(spark, sf).filter(F.col("qcov") >= 40).groupBy("gene_id").agg((F.max("pident") / 100).alias("tm"))
+    pairs = iv.overlap_join(genes(spark, sf).select(*KEYS, "gene_id", "start", "end"), seeds(spark, sf), KEYS, G)
+    return vt.structural_support(pairs.join(tm, "gene_id", "left"), ["region_id"])
+
+
+@query(
+    "family_consistency",
+    """WITH f AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'NCLDV' WHEN 1 THEN 'VP' WHEN 2 THEN 'MIRUS' ELSE 'x' END AS r, CASE o_custkey % 3 WHEN 0 THEN 'PLV' WHEN 1 THEN 'NCLDV' ELSE 'MIRUS' END AS t,
+       (o_custkey % 10) / 10e0 AS tf, CASE o_custkey % 2 WHEN 0 THEN 'PPV' ELSE 'NCLDV' END AS m, o_orderkey % 5 AS c, CASE WHEN o_orderkey % 3 = 0 THEN 'PPV' WHEN o_orderkey % 3 = 1 THEN 'NCLDV' END AS d FROM orders),
+    n AS (SELECT *, CASE r WHEN 'VP' THEN 'PPV' ELSE r END AS r2, CASE t WHEN 'PLV' THEN 'PPV' ELSE t END AS t2 FROM f),
+    v AS (SELECT o_orderkey, greatest(""" + ", ".join(f"(r2 = '{x}')::INT + (t2 = '{x}' AND tf >= 0.25)::INT + (m = '{x}' AND c > 0)::INT + coalesce(d = '{x}', false)::INT" for x in ("NCLDV", "MIRUS", "PPV"))
+    + """) AS top FROM n) SELECT o_orderkey, CASE WHEN top >= 3 THEN 0.08e0 WHEN top = 2 THEN 0.04e0 ELSE 0 END AS bonus FROM v""",
+)
+def family_consistency(spark, sf):
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    dom = F.when(o % 3 == 0, F.array(F.lit("VP"), F.lit("PLV"))).when(o % 3 == 1, F.array(F.lit("NCLDV"))).otherwise(F.array(F.lit("NCLDV"), F.lit("MIRUS")))
+    bonus = sc.family_consistency(
+        F.when(o % 4 == 0, "NCLDV").when(o % 4 == 1, "VP").when(o % 4 == 2, "MIRUS").otherwise("x"), F.when(c % 3 == 0, "PLV").when(c % 3 == 1, "NCLDV").otherwise("MIRUS"),
+        (c % 10) / 10.0, F.when(c % 2 == 0, "PPV").otherwise("NCLDV"), o % 5, dom,
+    )
+    return load(spark, sf, "orders").select("o_orderkey", bonus.alias("bonus"))
+
+
+@query(
+    "capsid_override",
+    """SELECT o_orderkey, (o_orderkey % 2 = 0 AND o_custkey % 3 >= 1) OR o_orderstatus = 'F' OR o_orderpriority LIKE '1%' AS accepted FROM orders""",
+)
+def capsid_override(spark, sf):
+    o = F.col("o_orderkey")
+    cats = F.when(F.col("o_orderstatus") == "F", F.array(F.lit("capsid"))).otherwise(F.array(F.lit("portal")))
+    words = F.when(F.col("o_orderpriority").startswith("1"), F.array(F.lit("Major MCP"))).otherwise(F.array(F.lit("kinase")))
+    ok = sc.capsid_override(o % 2 == 0, F.col("o_custkey") % 3, cats, words)
+    return load(spark, sf, "orders").select("o_orderkey", ok.alias("accepted"))
+
+
+@query(
+    "training_rows",
+    """WITH r AS (SELECT l_partkey AS gene_id, CASE WHEN l_returnflag = 'R' THEN 1 WHEN l_returnflag = 'A' THEN 0 ELSE -1 END AS label, l_orderkey AS region_id FROM lineitem)
+    SELECT gene_id, max(label) AS label, max(region_id) FILTER (label = m) AS region_id FROM (SELECT *, max(label) OVER (PARTITION BY gene_id) AS m FROM r WHERE label >= 0) GROUP BY gene_id""",
+)
+def training_rows(spark, sf):
+    from ..operators import learn
+
+    flag = F.col("l_returnflag")
+    rows = load(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("gene_id"), F.when(flag == "R", 1).when(flag == "A", 0).otherwise(-1).alias("label"), F.col("l_orderkey").alias("region_id")
+    )
+    return learn.training_rows(rows).select("gene_id", "label", "region_id")

@@ -386,10 +386,9 @@ def frameshift_table(spark, sf):
 
 @query("tandem_repeats", """SELECT 's' || l_orderkey AS seq_id, l_partkey AS "start", l_partkey + 50 AS "end", 'period=' || l_linenumber AS annotation FROM lineitem""")
 def tandem_repeats(spark, sf):
-    li = load(spark, sf, "lineitem")
     row = F.concat_ws(" ", F.col("l_partkey") + 1, F.col("l_partkey") + 50, F.col("l_linenumber"), F.lit("2.0 3"))
-    rec = li.groupBy("l_orderkey").agg(F.array_join(F.collect_list(row), "\n").alias("rows"))
-    text_ = F.concat(F.lit(" s"), F.col("l_orderkey"), F.lit("\n\nParameters: 2 7 7\n\n"), F.col("rows"), F.lit("\n"))
+    text_ = F.concat(F.lit(" s"), F.col("l_orderkey"), F.lit("\n\nParameters: 2 7 7\n\n"), row, F.lit("\n"))
+    rec = load(spark, sf, "lineitem")
     return reports.parse_tandem_repeats(rec.select(text_.alias("value")))
 
 
@@ -445,3 +444,24 @@ def genome_batch(spark, sf):
     x = gn.Inputs(g.select(*KEYS, "gene_id", "start", "end"), hits(spark, sf), markers(spark, sf), lengths)
     out = gn.run(spark, x)
     return out.select("genome_id", "scaffold", "region_id", "start", "end", "confidence_tier", "final_confidence", "published_class", "kept", "outcome")
+
+
+@query(
+    "fasta_export",
+    """SELECT '>' || doc_id || ' lang=' || lang || chr(10) || substr(text, 1, CAST(n_chars // 2 AS BIGINT)) AS value FROM documents WHERE n_chars // 2 > 0""",
+)
+def fasta_export(spark, sf):
+    from ..operators import intervals as iv
+
+    d = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("eve_id"), "lang", "n_chars", F.col("text").alias("seq"))
+    spans = d.select("eve_id", F.lit(0).alias("start"), F.floor(F.col("n_chars") / 2).alias("end"))
+    cut_ = iv.slice_join(spans, d.select("eve_id", "lang", "seq"), ["eve_id"])
+    return sinks.fasta_lines(cut_, "eve_id", F.concat(F.lit("lang="), F.col("lang")), "region_seq")
+
+
+@query(
+    "json_export",
+    """SELECT '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS value FROM customer""",
+)
+def json_export(spark, sf):
+    return sinks.json_lines(load(spark, sf, "customer").select("c_custkey", "c_mktsegment"))
