@@ -173,6 +173,7 @@ def gap_cluster(
         order,
         {"prev_start": ("lag", F.col("start")), "prev_end": ("lag", F.col("end"))},
         width,
+        keep_chunk=True,
     )
     stay = (F.col("start") - F.col("prev_end")) <= max_gap
     if near is not None:
@@ -195,7 +196,7 @@ def mark_islands(
     A row joins while ``start <= running_end + max_gap`` (``<`` when strict).
     """
     order = ["start", *tie]
-    d = prefix_scan(df, keys, "start", order, {"_reach": ("max", F.col("end"))}, width)
+    d = prefix_scan(df, keys, "start", order, {"_reach": ("max", F.col("end"))}, width, keep_chunk=True)
     bound = F.col("_reach") + max_gap
     joins = (F.col("start") < bound) if strict else (F.col("start") <= bound)
     d = d.withColumn("_break", F.col("_reach").isNull() | ~F.coalesce(joins, F.lit(False)))

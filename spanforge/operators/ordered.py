@@ -33,6 +33,7 @@ def prefix_scan(
     width: float,
     inclusive: bool = False,
     descending: bool = False,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Add running values per key.
 
@@ -40,12 +41,19 @@ def prefix_scan(
     ``sum max min count lag``.  Values cover the rows before the current one, and
     the current one too when ``inclusive``.  ``order`` must be a total order that
     starts with ``pos``; ``descending`` scans it from the other end.
+
+    The shuffle by ``(keys, chunk)`` is asked for outright: a window alone would accept
+    an input already split by the keys, and run a crowded key in one task.  A second
+    scan over the same positions keeps the chunks (``keep_chunk``) and moves nothing.
     """
     keys = list(keys)
     direction = (lambda c: F.col(c).desc()) if descending else F.col
-    d = df.withColumn(CHUNK, chunk_of(F.col(pos), width))
+    fresh = CHUNK not in df.columns
+    base = df.withColumn(CHUNK, chunk_of(F.col(pos), width)) if fresh else df
     for name, (_, expr) in scans.items():
-        d = d.withColumn(f"_v_{name}", expr)
+        base = base.withColumn(f"_v_{name}", expr)
+    # the summaries are added up map-side, before the rows themselves move
+    d = base.repartition(*keys, CHUNK) if fresh else base
     local = Window.partitionBy(*keys, CHUNK).orderBy(*[direction(c) for c in order])
     frame = local.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     carry_order = Window.partitionBy(*keys).orderBy(direction(CHUNK))
@@ -65,7 +73,7 @@ def prefix_scan(
             carry_agg = F.sum if kind == "count" else agg
             carries.append(carry_agg(f"_t_{name}").over(carry_frame).alias(f"_k_{name}"))
             locals_[name] = agg(value).over(frame)
-    carried = d.groupBy(*keys, CHUNK).agg(*totals).select(*keys, CHUNK, *carries)
+    carried = base.groupBy(*keys, CHUNK).agg(*totals).select(*keys, CHUNK, *carries)
     for name, expr in locals_.items():
         d = d.withColumn(f"_l_{name}", expr)
     out = d.join(carried, [*keys, CHUNK], "inner")
@@ -79,8 +87,8 @@ def prefix_scan(
         else:
             merged = F.greatest(loc, car) if kind == "max" else F.least(loc, car)
         out = out.withColumn(name, merged)
-    drop = [CHUNK] + [f"_{p}_{n}" for n in scans for p in "vlk"]
-    return out.drop(*drop)
+    drop = [f"_{p}_{n}" for n in scans for p in "vlk"]
+    return out.drop(*drop) if keep_chunk else out.drop(CHUNK, *drop)
 
 
 def ordinal(
@@ -133,7 +141,7 @@ def halo_window(
     ``columns`` maps an output name to a function of a ``WindowSpec`` ordered by
     ``idx``; the function may look at most ``halo`` rows away.
     """
-    d = halo_rows(df, keys, idx, halo, chunk)
+    d = halo_rows(df, keys, idx, halo, chunk).repartition(*keys, CHUNK)
     spec = Window.partitionBy(*keys, CHUNK).orderBy(idx)
     for name, build in columns.items():
         d = d.withColumn(name, build(spec))

@@ -347,11 +347,11 @@ def greedy_readmission(spark, sf):
     from .tables import track
 
     d = track(spark, sf).withColumn("offset", F.col("start") - 1704067200)
-    d = d.select(*KEYS, "gene_id", F.col("offset").alias("start"), (F.col("end") - 1704067200).alias("end"), "score")
+    d = d.select(*KEYS, "gene_id", F.col("offset").alias("start"), (F.col("end") - 1704067200).alias("end"), "score", "kind")
     # a unique number in order of falling confidence, scaffold and start
     d = d.withColumn("rank", F.struct(-F.col("score"), F.col("scaffold"), F.col("start"), F.col("gene_id")))
     d = d.withColumn("gate_kept", F.lit(True)).withColumn("non_atpase", F.lit(1)).withColumn("viral_fraction", F.col("score") / 50)
-    taken = d.filter((F.col("score") > 60) & (F.col("start") % 2 == 0)).select(*KEYS, "start", "end")
+    taken = d.filter((F.col("kind") == "purchase") & (F.col("score") > 60)).select(*KEYS, "start", "end")
     return sel.readmit(d, taken, KEYS, 65536, 22).select("gene_id", "scaffold", "start", "end")
 
 
