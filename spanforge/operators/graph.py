@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..session import cut
+from .ordered import prefix_scan
 
 
 def components(nodes: DataFrame, edges: DataFrame, node: str = "id", a: str = "a", b: str = "b") -> DataFrame:
@@ -48,8 +49,7 @@ def number_clusters(members: DataFrame, edges: DataFrame, genome: str = "genome_
     ``members``: genome, id, root.  ``edges``: a, b, ani above the joining threshold.
     """
     sizes = members.groupBy(genome, "root").agg(F.count(F.lit(1)).alias("cluster_size"), F.min("id").alias("_first"))
-    w = Window.partitionBy(genome).orderBy(F.col("cluster_size").desc(), "_first")
-    numbered = sizes.filter("cluster_size > 1").withColumn("cluster_id", F.row_number().over(w) - 1)
+    numbered = _in_order(sizes.filter("cluster_size > 1"), genome)
     ends = edges.select(F.col("a").alias("id"), "ani").unionByName(edges.select(F.col("b").alias("id"), "ani"))
     top = ends.groupBy("id").agg(F.max("ani").alias("max_ani"))
     d = members.join(numbered.select(genome, "root", "cluster_id", "cluster_size"), [genome, "root"], "left").join(top, "id", "left")
@@ -61,6 +61,23 @@ def number_clusters(members: DataFrame, edges: DataFrame, genome: str = "genome_
     )
 
 
+def _in_order(sizes: DataFrame, genome: str) -> DataFrame:
+    """Zero-based ``cluster_id`` by falling size, then smallest member.
+
+    Clusters are counted per size first; inside one size, numeric ids are numbered by a
+    chunked scan, so the many small clusters of a genome are not sorted in one task.
+    """
+    per_size = sizes.groupBy(genome, "cluster_size").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(genome).orderBy(F.col("cluster_size").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_size.select(genome, "cluster_size", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    keys = [genome, "cluster_size"]
+    if dict(sizes.dtypes)["_first"] in ("int", "bigint"):
+        d = prefix_scan(sizes, keys, "_first", ["_first"], {"_i": ("count", F.lit(1))}, 65536)
+    else:
+        d = sizes.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy("_first")) - 1)
+    return d.join(offsets, keys).withColumn("cluster_id", F.col("_i") + F.col("_off")).drop("_i", "_off")
+
+
 def propagate_class(members: DataFrame, genome: str = "genome_id") -> DataFrame:
     """Give members the one lineage class their capsid-decided relatives agree on."""
     donors = (
