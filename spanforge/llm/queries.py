@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, vectors
 from .text import documents
 
 
@@ -15,5 +15,10 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash_dedup,)}
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op5_embedding_dedup, op10_simhash_dedup)}
 SQL: dict[str, str] = {}

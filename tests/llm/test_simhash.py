@@ -2,6 +2,7 @@ import random
 
 import pytest
 import xxhash
+from plain_links import roots
 
 from spanforge.llm import links, simhash
 
@@ -15,20 +16,6 @@ def plain(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def roots(ids, linked):
-    root = {i: i for i in ids}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for a, b in linked:
-        x, y = find(a), find(b)
-        root[max(x, y)] = min(x, y)
-    return {i: find(i) for i in ids}
-
-
 def test_fingerprint_cases():
     for t in ("", " \t\n", "One", "ONE two", "a b c d", "A b\x0bc d\x1ce f g h " * 40):
         assert simhash.fingerprint(t.encode()) == plain(t)
