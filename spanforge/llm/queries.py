@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, vectors
+from . import lines, simhash, vectors
 from .text import documents
 
 
@@ -20,5 +20,10 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op5_embedding_dedup, op10_simhash_dedup)}
-SQL: dict[str, str] = {}
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of line-first cleaning for every document."""
+    return lines.clean_lines(documents(spark, sf_dir), with_text=False)
+
+
+QUERIES = {f.__name__: f for f in (op5_embedding_dedup, op7_quality_rules, op10_simhash_dedup)}
+SQL = {"op7_quality_rules": lines.clean_sql()}
