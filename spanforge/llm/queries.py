@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, simhash, vectors
+from . import chat, lines, simhash, vectors
 from .text import documents
 
 
@@ -25,5 +25,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.clean_lines(documents(spark, sf_dir), with_text=False)
 
 
-QUERIES = {f.__name__: f for f in (op5_embedding_dedup, op7_quality_rules, op10_simhash_dedup)}
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation as read back from its formatted text."""
+    turns = chat.turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    tricky = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.write_turns(turns.unionByName(own)))
+
+
+QUERIES = {f.__name__: f for f in (op5_embedding_dedup, op7_quality_rules, op9_chat_format, op10_simhash_dedup)}
 SQL = {"op7_quality_rules": lines.clean_sql()}
