@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, simhash, vectors
-from .text import documents
+from . import chat, langid, lines, simhash, vectors
+from .text import documents, fold
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,14 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; crc32 of the id modulo 3 is 1 for rows held out of learning."""
+    docs = documents(spark, sf_dir)
+    held = fold("doc_id", 3) == 1
+    model = langid.train(docs.filter(~held).select("doc_id", "text", "lang"))
+    return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -33,5 +41,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.write_turns(turns.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op5_embedding_dedup, op7_quality_rules, op9_chat_format, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_dedup, op7_quality_rules, op9_chat_format, op10_simhash_dedup)}
 SQL = {"op7_quality_rules": lines.clean_sql()}
