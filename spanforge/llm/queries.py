@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lines, simhash, vectors
+from . import chat, langid, lines, quality, simhash, vectors
 from .text import documents, fold
 
 
@@ -33,6 +33,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.clean_lines(documents(spark, sf_dir), with_text=False)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; crc32 of the id modulo 5 is 0 for rows held out of learning."""
+    docs = documents(spark, sf_dir)
+    held = fold("doc_id", 5) == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    net = quality.train(docs.filter(~held), labels.filter((F.col("quality") == 1) & ~held))
+    return quality.score(docs, net).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation as read back from its formatted text."""
     turns = chat.turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -41,5 +50,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.write_turns(turns.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_dedup, op7_quality_rules, op9_chat_format, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_dedup, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
 SQL = {"op7_quality_rules": lines.clean_sql()}
