@@ -64,11 +64,11 @@ class Fit:
 
     positives: int = 8000
     unlabelled: int = 16000
-    hidden: int = 24
-    epochs: int = 16
+    hidden: int = 8
+    steps: int = 150
     batch: int = 512
     rate: float = 3e-3
-    decay: float = 1e-4
+    decay: float = 1e-2
     seed: int = 7
 
 
@@ -115,7 +115,7 @@ def train_network(p: np.ndarray, u: np.ndarray, prior: float | None, fit: Fit) -
     net = Network(mean, scale, [r.normal(0, 1 / np.sqrt(WIDTH), (WIDTH, fit.hidden)), np.zeros(fit.hidden), r.normal(0, 1 / np.sqrt(fit.hidden), fit.hidden), np.zeros(())], prior or 0.5)
     p, u = (np.clip((x - mean) / scale, -6, 6) for x in (p, u))
     m, v, step = [np.zeros_like(w) for w in net.weights], [np.zeros_like(w) for w in net.weights], 0
-    for _ in range(fit.epochs):
+    while step < fit.steps:
         order = r.permutation(len(u))
         for at in range(0, len(u), fit.batch):
             xu, xp = u[order[at : at + fit.batch]], p[r.integers(0, len(p), min(fit.batch, len(p)))]
@@ -141,16 +141,16 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, fit: Fit) -> float:
     """Share of positives in ``u``: the least ratio of the two samples' tails above a score.
 
     A classifier of ``p`` against ``u`` is fitted on one half; on the other half, tails that hold
-    only positives are smaller in ``u`` by just the prior. A margin for chance keeps short tails out.
+    only positives are smaller in ``u`` by just the prior. Tails of less than half the positives are
+    left out, as chance could make them small.
     """
     net = train_network(p[::2], u[::2], None, fit)
     sp, su = np.sort(net.logits(p[1::2])), np.sort(net.logits(u[1::2]))
     if not len(sp) or not len(su):
         return 0.5
-    at = np.quantile(sp, np.linspace(0.01, 0.95, 200))
+    at = np.quantile(sp, np.linspace(0.005, 0.5, 200))
     tail_p, tail_u = 1 - np.searchsorted(sp, at) / len(sp), 1 - np.searchsorted(su, at) / len(su)
-    margin = 1.5 * (np.sqrt(1 / len(sp)) + np.sqrt(1 / len(su)))
-    k = int(np.argmin((tail_u + margin) / np.maximum(tail_p, 1e-9)))
+    k = int(np.argmin(tail_u / tail_p))
     return float(np.clip(tail_u[k] / tail_p[k], 0.05, 0.98))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lines, quality, simhash, vectors
+from . import chat, langid, lines, packing, quality, simhash, vectors
 from .text import documents, fold
 
 
@@ -28,6 +28,11 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(packing.tokens(documents(spark, sf_dir), with_ids=False))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of line-first cleaning for every document."""
     return lines.clean_lines(documents(spark, sf_dir), with_text=False)
@@ -50,5 +55,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.write_turns(turns.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_dedup, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
 SQL = {"op7_quality_rules": lines.clean_sql()}

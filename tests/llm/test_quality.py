@@ -37,7 +37,7 @@ def test_risk_gradient():
 
 @pytest.mark.parametrize("share", [0.3, 0.8])
 def test_prior_and_scores(share):
-    fit = quality.Fit(epochs=8)
+    fit = quality.Fit(steps=100)
     u, good = two_kinds(4000, share, 1)
     p = two_kinds(4000, 1.0, 2)[0][:2000]
     prior = quality.estimate_prior(p, u, fit)
@@ -56,7 +56,7 @@ def test_edges(spark):
     rows = [(1, None, 3), (1, "", 3), (None, "some words here.", 3), (4, "x" * 300000, 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, score int")
     keys = spark.createDataFrame([(1,), (1,), (None,), (99,)], "doc_id long")
-    net = quality.train(df, keys, fit=quality.Fit(epochs=1))
+    net = quality.train(df, keys, fit=quality.Fit(steps=5))
     got = quality.score(df, net).collect()
     assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
     assert quality.train(df, keys.limit(0)) is None and quality.train(df.limit(0), keys) is None
