@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lines, packing, quality, simhash, vectors
+from . import chat, langid, lines, lm, packing, quality, simhash, vectors
 from .text import documents, fold
 
 
@@ -23,6 +23,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every document; crc32 of the id modulo 10 is 0 for rows held out of learning."""
+    return lm.score_documents(documents(spark, sf_dir), fold("doc_id", 10) == 0)
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -55,5 +60,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.write_turns(turns.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_lm_score, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
 SQL = {"op7_quality_rules": lines.clean_sql()}
