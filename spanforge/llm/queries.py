@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lines, lm, packing, quality, simhash, vectors
+from . import chat, langid, lines, lm, mixing, packing, quality, simhash, vectors
 from .text import documents, fold
 
 
@@ -15,6 +15,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every draw of every document, by block and position."""
+    return mixing.mixture(documents(spark, sf_dir))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; crc32 of the id modulo 3 is 1 for rows held out of learning."""
     docs = documents(spark, sf_dir)
@@ -60,5 +65,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.write_turns(turns.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_lm_score, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
-SQL = {"op7_quality_rules": lines.clean_sql()}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_language_id, op4_lm_score, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
+SQL = {"op1_mix_sources": mixing.mixture_sql(), "op7_quality_rules": lines.clean_sql()}
