@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lines, lm, mixing, packing, quality, simhash, vectors
+from . import chat, langid, licenses, lines, lm, mixing, packing, quality, simhash, vectors
 from .text import documents, fold
 
 
@@ -28,6 +28,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices found in every document."""
+    return licenses.scan_documents(documents(spark, sf_dir)).drop("matches")
+
+
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model log10 probability of every document; crc32 of the id modulo 10 is 0 for rows held out of learning."""
     return lm.score_documents(documents(spark, sf_dir), fold("doc_id", 10) == 0)
@@ -65,5 +70,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.write_turns(turns.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_language_id, op4_lm_score, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_language_id, op3_license_scan, op4_lm_score, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup)}
 SQL = {"op1_mix_sources": mixing.mixture_sql(), "op7_quality_rules": lines.clean_sql()}
