@@ -12,35 +12,31 @@ from ..session import cut
 from .ordered import prefix_scan
 
 
-def components(nodes: DataFrame, edges: DataFrame, node: str = "id", a: str = "a", b: str = "b") -> DataFrame:
-    """Smallest node id of each node's component.
-
-    Alternating large-star and small-star steps: a node only ever needs the minimum
-    of its neighbours, so a hub is reduced map-side and no neighbour list is built.
-    Rounds grow with the logarithm of the component size.
+def roots(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``node, root`` for every linked node that isn't a root itself; root is the smallest node it reaches.
+
+    Each round ties all smaller neighbours of a node to the smallest one (its parent) and lifts
+    each parent to its own parent. Only the minimum per node is aggregated, map-side first; the
+    joins are plain ones between written tables, so adaptive execution can split a hub's rows.
+    Rounds grow with the logarithm of the longest chain. Null ends and self links are ignored;
+    an empty table gives an empty one.
     """
     x, y = F.col(a), F.col(b)
-    e = cut(edges.filter(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct())
-    before = None
+    e = cut(links.filter(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct())
     while True:
-        mark = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (mark["n"], mark["h"]) == before:
-            break
-        before = (mark["n"], mark["h"])
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large.filter(F.col("u") != F.col("v")))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        e = cut(
-            joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(joined.select("u", F.col("m").alias("v")))
-            .filter(F.col("u") != F.col("v"))
-            .distinct()
-        )
-    roots = e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", node)
-    return nodes.join(roots, node, "left").withColumn("root", F.coalesce("root", node))
+        parent = cut(e.groupBy("u").agg(F.min("v").alias("p")))
+        rest = e.join(parent, "u").filter("v <> p").select(F.col("v").alias("u"), F.col("p").alias("v"), F.lit(1).alias("moved"))
+        above = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+        lifted = parent.join(above, "p", "left").select("u", F.coalesce("pp", "p").alias("v"), F.col("pp").isNotNull().cast("int").alias("moved"))
+        e = cut(rest.unionByName(lifted).groupBy("u", "v").agg(F.max("moved").alias("moved")))
+        if not e.agg(F.max("moved")).first()[0]:
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def components(nodes: DataFrame, edges: DataFrame, node: str = "id", a: str = "a", b: str = "b") -> DataFrame:
+    """``nodes`` with ``root``, the smallest node id of each node's component."""
+    found = roots(edges, a, b).withColumnRenamed("node", node)
+    return nodes.join(found, node, "left").withColumn("root", F.coalesce("root", node))
 
 
 def number_clusters(members: DataFrame, edges: DataFrame, genome: str = "genome_id") -> DataFrame:
@@ -110,14 +106,34 @@ def cluster(nodes: DataFrame, edges: DataFrame, genome: str = "genome_id", min_a
     return number_clusters(components(nodes, strong), strong, genome)
 
 
+def surviving(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """Edges among the records of ``ids``.
+
+    Where edges have ``copy``, all edges of a group of copies hang on one of them; if that one
+    is gone, the smallest survivor of the group takes its place, as all of a group are alike.
+    """
+    if "copy" not in edges.columns:
+        return edges.join(ids.withColumnRenamed("id", "a"), "a", "left_semi").join(ids.withColumnRenamed("id", "b"), "b", "left_semi")
+    star = edges.filter("copy").select(F.col("a").alias("rep"), F.col("b").alias("id"))
+    group = cut(star.unionByName(star.select("rep", F.col("rep").alias("id")).distinct()).join(ids, "id", "left_semi"))
+    heads = cut(group.groupBy("rep").agg(F.min("id").alias("head")))
+
+    def moved(d: DataFrame, end: str) -> DataFrame:
+        h = heads.select(F.col("rep").alias(end), F.col("head").alias("_h"))
+        return d.join(h, end, "left").withColumn(end, F.coalesce("_h", end)).drop("_h")
+
+    others = surviving(moved(moved(edges.filter(~F.col("copy")), "a"), "b").drop("copy"), ids)
+    whole = [F.lit(100.0).alias(c) for c in edges.columns if c not in ("a", "b", "copy")]
+    copies = group.join(heads, "rep").filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), *whole)
+    return others.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)))
+
+
 def cluster_and_propagate(nodes: DataFrame, edges: DataFrame, genome: str = "genome_id", min_ani: float = 95.0) -> DataFrame:
     """Cluster, propagate, drop unsupported members and number the survivors again."""
     nodes, edges = cut(nodes), cut(edges)
     first = cut(propagate_class(cluster(nodes, edges, genome, min_ani), genome))
     kept = cut(drop_unsupported(first, genome).drop("cluster_id", "cluster_size", "max_ani"))
-    ids = kept.select("id")
-    live = edges.join(ids.withColumnRenamed("id", "a"), "a", "left_semi").join(ids.withColumnRenamed("id", "b"), "b", "left_semi")
-    return cluster(kept, live, genome, min_ani)
+    return cluster(kept, surviving(edges, kept.select("id")), genome, min_ani)
 
 
 def edge_table(edges: DataFrame) -> DataFrame:

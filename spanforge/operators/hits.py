@@ -162,7 +162,7 @@ def resolve_organisms(targets: DataFrame, labels: DataFrame, column: str = "targ
     legacy = F.lit("PHAGE__VARDNA__")
     bases = F.when(
         F.col("_org").startswith("PHAGE__VARDNA__"),
-        F.array(F.col("_org"), F.concat(F.lit("PHAGE__"), F.substring(F.col("_org"), F.length(legacy) + 1, 100000))),
+        F.array(F.col("_org"), F.concat(F.lit("PHAGE__"), F.substring(F.col("_org"), F.length(legacy) + 1, F.length("_org")))),
     ).otherwise(F.array("_org"))
     b = names.select("_org", F.posexplode(bases).alias("_base_no", "_base"))
     head = F.split_part(F.col("_base"), F.lit("__"), F.lit(1))

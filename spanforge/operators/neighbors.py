@@ -11,28 +11,32 @@ from .intervals import near_join, overlap_join
 from .ordered import prefix_scan
 
 
-def neighbour_scores(df: DataFrame, keys: Sequence[str], id_col: str, window: int, salt: int = 1) -> DataFrame:
+def neighbour_scores(df: DataFrame, keys: Sequence[str], id_col: str, window: int, salt: int = 1, others: DataFrame | None = None) -> DataFrame:
     """Sum of other records' scores within ``window``, per ``window / 1000`` units.
 
-    Records with equal bounds are folded before the join, so a pile of copies at
-    one place meets its neighbours once.
+    The others are ``df`` itself or ``others``, which holds one scored row per id; the row
+    of a record's own id never counts.  Rows with equal bounds are folded before the join,
+    so a pile of copies at one place meets its neighbours once.
     """
-    places = df.groupBy(*keys, "start", "end").agg(F.sum("score").alias("_sum"), F.count(F.lit(1)).alias("_n"))
-    other = places.select(
-        *keys, F.col("start").alias("r_start"), F.col("end").alias("r_end"),
-        F.col("_sum").alias("_r_sum"), F.col("_n").alias("_r_n"),
-    )
+    every = df if others is None else others
+    places = df.select(*keys, "start", "end").distinct()
+    other = every.groupBy(*keys, F.col("start").alias("r_start"), F.col("end").alias("r_end")).agg(F.sum("score").alias("_r_sum"), F.count(F.lit(1)).alias("_r_n"))
     near = (
         near_join(places, other, keys, window, salt=salt)
         .groupBy(*keys, "start", "end")
         .agg(F.sum("_r_sum").alias("_near_sum"), F.sum("_r_n").alias("_near_n"))
     )
+    if others is None:
+        d, own = df.withColumn("_own", F.col("score")), F.lit(1)
+    else:
+        d = df.join(others.select(*keys, id_col, F.col("score").alias("_own")), [*keys, id_col], "left")
+        own = F.col("_own").isNotNull().cast("bigint")
     return (
-        df.join(near, [*keys, "start", "end"], "inner")
-        .withColumn("neighbours", F.col("_near_n") - 1)
-        .withColumn("neighbour_score", (F.col("_near_sum") - F.col("score")) / (window / 1000))
+        d.join(near, [*keys, "start", "end"], "inner")
+        .withColumn("neighbours", F.col("_near_n") - own)
+        .withColumn("neighbour_score", (F.col("_near_sum") - F.coalesce("_own", F.lit(0.0))) / (window / 1000))
         .filter("neighbours > 0")
-        .drop("_near_n", "_near_sum")
+        .drop("_near_n", "_near_sum", "_own")
     )
 
 

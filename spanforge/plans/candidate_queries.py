@@ -342,7 +342,15 @@ def candidates(spark, sf):
     )
 
 
-@query("greedy_readmission")
+@query(
+    "greedy_readmission",
+    """WITH d AS (SELECT user_id % 4 AS genome_id, user_id AS scaffold, event_id AS gene_id, epoch_us(ts) // 1000000 - 1704067200 AS "start", value AS score, event_type AS kind FROM events),
+    e AS (SELECT *, "start" + CAST(floor(score * 60) AS BIGINT) AS "end" FROM d), taken AS (SELECT * FROM e WHERE kind = 'purchase' AND score > 60),
+    free AS (SELECT * FROM e WHERE score / 50 >= 0.1 AND NOT EXISTS (SELECT 1 FROM taken t WHERE t.genome_id = e.genome_id AND t.scaffold = e.scaffold AND t."start" < e."end" AND t."end" > e."start")),
+    l AS (SELECT genome_id, scaffold, list({'gene_id': gene_id, 's': "start", 'e': "end"} ORDER BY score DESC, "start", gene_id) AS c FROM free GROUP BY ALL),
+    g AS (SELECT scaffold, list_reduce(list_transform(c, lambda x: [x]), lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: y.s < x[1].e AND y.e > x[1].s)) > 0 THEN acc ELSE list_concat(acc, x) END) AS k FROM l)
+    SELECT u.gene_id, scaffold, u.s AS "start", u.e AS "end" FROM (SELECT scaffold, unnest(k) AS u FROM g)""",
+)
 def greedy_readmission(spark, sf):
     from .tables import track
 
@@ -352,7 +360,7 @@ def greedy_readmission(spark, sf):
     d = d.withColumn("rank", F.struct(-F.col("score"), F.col("scaffold"), F.col("start"), F.col("gene_id")))
     d = d.withColumn("gate_kept", F.lit(True)).withColumn("non_atpase", F.lit(1)).withColumn("viral_fraction", F.col("score") / 50)
     taken = d.filter((F.col("kind") == "purchase") & (F.col("score") > 60)).select(*KEYS, "start", "end")
-    return sel.readmit(d, taken, KEYS, 65536, 22).select("gene_id", "scaffold", "start", "end")
+    return sel.readmit(d, taken, KEYS, 65536).select("gene_id", "scaffold", "start", "end")
 
 
 @query(

@@ -48,7 +48,8 @@ def region_assembly(spark, sf):
     f"""WITH {GENES}, {MARKERS}, b AS (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY score DESC, ordinal) AS rn FROM markers),
     a AS (SELECT g.genome_id, g.scaffold, g.gene_id, g."start", g."end", b.model, b.score FROM b JOIN genes g USING (gene_id)
        WHERE rn = 1 AND score >= 50 AND evalue <= 1e-5),
-    n AS (SELECT x.gene_id, sum(y.score) / 50 AS ns FROM a x JOIN a y ON x.genome_id = y.genome_id AND x.scaffold = y.scaffold AND x.gene_id <> y.gene_id
+    h AS (SELECT g.genome_id, g.scaffold, g.gene_id, g."start", g."end", f.score FROM (SELECT * FROM markers QUALIFY row_number() OVER (PARTITION BY gene_id ORDER BY ordinal) = 1) f JOIN genes g USING (gene_id)),
+    n AS (SELECT x.gene_id, sum(y.score) / 50 AS ns FROM a x JOIN h y ON x.genome_id = y.genome_id AND x.scaffold = y.scaffold AND x.gene_id <> y.gene_id
        AND least(abs(x."start" - y."start"), abs(x."end" - y."end")) <= 50000 GROUP BY x.gene_id),
     q AS (SELECT a.*, coalesce(ns, 0) AS ns, greatest(0, "start" - 50000) AS s, "end" + 50000 AS e FROM a LEFT JOIN n USING (gene_id)
        WHERE coalesce(ns, 0) >= 10 OR score >= 100),
@@ -67,8 +68,10 @@ def _anchor_seeds(spark, sf):
     g = genes(spark, sf).select(*KEYS, "gene_id", "start", "end")
     from .tables import markers
 
-    anchors = ho.best_profile_hits(markers(spark, sf)).join(g, "gene_id")
-    return rg.anchor_seeds(anchors.select(*KEYS, "gene_id", "start", "end", "model", "score"), KEYS, 65536)
+    m = markers(spark, sf)
+    anchors = ho.best_profile_hits(m).join(g, "gene_id")
+    first = m.groupBy("gene_id").agg(F.min_by("score", "ordinal").alias("score")).join(g, "gene_id")
+    return rg.anchor_seeds(anchors.select(*KEYS, "gene_id", "start", "end", "model", "score"), KEYS, 65536, hits=first.select(*KEYS, "gene_id", "start", "end", "score"))
 
 
 @query("seed_diversity")
@@ -158,8 +161,12 @@ def host_window_trim(spark, sf):
     nr AS (SELECT DISTINCT g.gene_id FROM t JOIN idx g ON g.genome_id = t.genome_id AND g.scaffold = t.scaffold AND g.i BETWEEN lo - 1 AND hi + 1),
     e AS (SELECT *, i - (row_number() OVER (PARTITION BY genome_id, scaffold ORDER BY i) - 1) AS stretch FROM idx WHERE gene_id NOT IN (SELECT gene_id FROM nr)),
     b AS (SELECT *, (row_number() OVER (PARTITION BY genome_id, scaffold, stretch ORDER BY i) - 1) // 3 AS block FROM e),
-    f AS (SELECT genome_id, scaffold, stretch, block, min(gene_id) AS head FROM b GROUP BY ALL HAVING count(*) = 3),
-    c AS (SELECT * FROM f ORDER BY md5(head::VARCHAR) LIMIT 100) SELECT b.gene_id FROM b JOIN c USING (genome_id, scaffold, stretch, block)""",
+    ln AS (SELECT genome_id, scaffold, stretch FROM b GROUP BY ALL HAVING count(*) >= 3), el AS (SELECT b.* FROM b JOIN ln USING (genome_id, scaffold, stretch)),
+    tot AS (SELECT genome_id, count(*) AS n FROM el GROUP BY genome_id),
+    f AS (SELECT genome_id, scaffold, stretch, block, min(gene_id) AS head FROM el GROUP BY ALL HAVING count(*) = 3),
+    c AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY genome_id ORDER BY md5(head::VARCHAR)) <= 100)
+    SELECT gene_id FROM el JOIN tot USING (genome_id) WHERE n < 300
+    UNION ALL SELECT el.gene_id FROM el JOIN c USING (genome_id, scaffold, stretch, block) JOIN tot USING (genome_id) WHERE n >= 300""",
 )
 def control_sampling(spark, sf):
     ix = indexed(spark, sf)

@@ -85,12 +85,10 @@ def gc_percent(spark, sf):
 
 @query(
     "background_bases",
-    f"""WITH {CONTIGS}, b AS (SELECT *, coalesce(sum(length(seq)) OVER (PARTITION BY lang ORDER BY doc_id
-       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM contigs)
-    SELECT lang, count(*) AS records, sum(length(substr(seq, 1, CAST(10000000 - before AS BIGINT))))::BIGINT AS bases FROM b WHERE before < 10000000 GROUP BY lang""",
+    f"""WITH {CONTIGS} SELECT lang, count(*) AS records, sum(length(seq))::BIGINT AS bases FROM contigs GROUP BY lang""",
 )
 def background_bases(spark, sf):
-    d = cp.leading_bases(contigs(spark, sf), "lang", "doc_id", 10_000_000)
+    d = cp.background(contigs(spark, sf), "lang", "doc_id")
     return d.groupBy("lang").agg(F.count(F.lit(1)).alias("records"), F.sum(F.length("seq")).alias("bases"))
 
 

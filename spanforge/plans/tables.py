@@ -83,9 +83,9 @@ def _pick_sql(values: list[str], index: str) -> str:
 
 
 def hits(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranked-match rows of lines not returned; ``ordinal`` stands for file order."""
+    """Ranked-match rows; ``ordinal`` stands for file order.  Orders without lines are genes without hits."""
     ns = _pick(NAMESPACES, F.col("l_suppkey"))
-    return load(spark, sf, "lineitem").filter(F.col("l_returnflag") != "R").select(
+    return load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("gene_id"),
         F.concat(ns, F.lit("__EP"), F.col("l_suppkey"), F.lit("_strain_"), F.col("l_partkey") % 7,
                  F.lit("|p"), F.col("l_partkey")).alias("target"),
@@ -103,7 +103,7 @@ HITS = f"""hits AS (SELECT l_orderkey AS gene_id,
   {_pick_sql(NAMESPACES, 'l_suppkey')} || '__' AS prefix,
   l_extendedprice / 100 AS bits, l_quantity * 2 AS pident,
   pow(10.0, -(l_quantity + 1)) AS evalue, l_tax * 1000 AS qcov,
-  CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 100000 + l_suppkey AS ordinal FROM lineitem WHERE l_returnflag <> 'R')"""
+  CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 100000 + l_suppkey AS ordinal FROM lineitem)"""
 
 RANKED = """ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gene_id
   ORDER BY bits DESC, ordinal) - 1 AS rank FROM hits) WHERE rank < 10)"""
@@ -116,10 +116,9 @@ MODELS = [
 
 
 def markers(spark: SparkSession, sf: str) -> DataFrame:
-    """Profile hits: two of three line items carry one."""
+    """Profile hits, one per line item."""
     return (
         load(spark, sf, "lineitem")
-        .filter(F.col("l_returnflag") != "N")
         .select(
             F.col("l_orderkey").alias("gene_id"),
             _pick(MODELS, F.col("l_partkey")).alias("model"),
@@ -136,7 +135,7 @@ MARKERS = f"""markers AS (SELECT l_orderkey AS gene_id, {_pick_sql(MODELS, 'l_pa
   l_extendedprice / 500 AS score, pow(10.0, -(l_quantity / 2)) AS evalue,
   CAST(1 AS BIGINT) AS q_start, CAST(l_quantity * 8 AS BIGINT) AS q_end,
   CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 100000 + l_suppkey AS ordinal
-  FROM lineitem WHERE l_returnflag <> 'N')"""
+  FROM lineitem)"""
 
 
 def labels(spark: SparkSession, sf: str) -> DataFrame:

@@ -80,7 +80,7 @@ def read_tandem_repeats(spark: SparkSession, path: str) -> DataFrame:
 def parse_tandem_repeats(records: DataFrame) -> DataFrame:
     """Repeats of a report cut at its ``Sequence:`` marks; text before the first is preamble."""
     lines = F.split("value", r"\r?\n")
-    d = records.filter(F.trim("value").rlike(r"(?s)^\S+.*\n")).select(F.regexp_extract("value", r"^\s*(\S+)", 1).alias("seq_id"), F.explode(F.slice(lines, 2, 100000000)).alias("l"))
+    d = records.filter(F.trim("value").rlike(r"(?s)^\S+.*\n")).select(F.regexp_extract("value", r"^\s*(\S+)", 1).alias("seq_id"), F.explode(F.slice(lines, 2, F.size(lines))).alias("l"))
     p = F.split(F.trim("l"), r"\s+")
     return d.filter(F.trim("l").rlike(r"^[+-]?\d") ).select(
         "seq_id", (p[0].cast("bigint") - 1).alias("start"), p[1].cast("bigint").alias("end"),

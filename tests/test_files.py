@@ -110,11 +110,11 @@ def test_three_genomes_end_to_end(spark, tmp_path):
     assert {r.genome_id for r in gn.run(spark, x, done).collect()} == {"g2"}
 
 
-def test_stream_skips_published_genomes(spark, tmp_path):
+def test_stream_keeps_late_rows(spark, tmp_path):
     src, out, cp = (str(tmp_path / p) for p in ("in", "out", "cp"))
-    spark.createDataFrame([("g1", 1), ("g2", 2)], "genome_id string, v int").write.parquet(src)
-    job = lambda rows, done: rows.groupBy("genome_id").agg(F.sum("v").alias("v"))
-    for _ in range(2):
+    spark.createDataFrame([("g1", 1), ("g2", 2), ("silent", -5)], "genome_id string, v int").write.parquet(src)
+    job = lambda rows: rows.groupBy("genome_id").agg(F.sum("v").alias("v")).filter("v > 0")
+    for _ in range(3):
         follow(spark, src, "genome_id string, v int", out, cp, job).awaitTermination()
-        spark.createDataFrame([("g2", 9), ("g3", 3)], "genome_id string, v int").write.mode("append").parquet(src)
-    assert sorted((r.genome_id, r.v) for r in spark.read.parquet(out).collect()) == [("g1", 1), ("g2", 2), ("g3", 3)]
+        spark.createDataFrame([("g2", 9), ("g3", 3), ("silent", 1)], "genome_id string, v int").write.mode("append").parquet(src)
+    assert sorted((r.genome_id, r.v) for r in spark.read.parquet(out).collect()) == [("g1", 1), ("g2", 20), ("g3", 6)]

@@ -48,7 +48,7 @@ def test_sketch_edges_lose_no_pair(spark):
     recs += [(90, recs[0][1]), (91, recs[0][1])]
     d = spark.createDataFrame(recs, "id bigint, seq string")
     sk = {}
-    for r in sm.sketches(d, "id", 12, 64).collect():
+    for r in sm.sketches(d, "id", 12, 4).collect():
         sk.setdefault(r.id, set()).add(r.h)
     want = set()
     ids = [i for i, _ in recs if i not in (90, 91)]
@@ -58,10 +58,33 @@ def test_sketch_edges_lose_no_pair(spark):
                 c, n = len(sk[x] & sk[y]), min(len(sk[x]), len(sk[y]))
                 if c / n >= 0.5 and 100 * (c / n) ** (1 / 12) >= 80:
                     want.add((x, y))
-    got = {(r.a, r.b) for r in sm.sketch_edges(d, "id", 12, 64).collect()}
+    got = {(r.a, r.b) for r in sm.sketch_edges(d, "id", 12, 4).collect()}
     assert got == want | {(0, 90), (0, 91)}
 
 
+def test_a_record_inside_a_long_one_is_found(spark):
+    rng = random.Random(4)
+    inner, a, b = ("".join(rng.choices("ACGT", k=n)) for n in (3000, 20000, 20000))
+    d = spark.createDataFrame([(1, inner), (2, a + inner + b), (3, a[:5000])], "id bigint, seq string")
+    got = {(r.a, r.b): (r.af_a, r.af_b) for r in sm.sketch_edges(d, "id").collect()}
+    assert set(got) == {(1, 2), (2, 3)} and got[1, 2][0] > 99 and got[1, 2][1] < 15
+
+
+def test_copies_stay_together_without_their_first(spark):
+    edges = "a string, b string, ani double, af_a double, af_b double, copy boolean"
+    e = spark.createDataFrame([("c1", "c2", 100.0, 100.0, 100.0, True), ("c1", "c3", 100.0, 100.0, 100.0, True), ("c1", "x", 97.0, 90.0, 90.0, False), ("y", "z", 96.0, 90.0, 90.0, False)], edges)
+    rows = [("g", "c1", "UNKNOWN", False, 0), ("g", "c2", "VIRAL_UNKNOWN", False, 0), ("g", "c3", "VIRAL_UNKNOWN", False, 0), ("g", "x", "VIRAL_UNKNOWN", False, 0), ("g", "y", "UNKNOWN", False, 0), ("g", "z", "VIRAL_UNKNOWN", False, 0)]
+    n = spark.createDataFrame(rows, "genome_id string, id string, taxonomy_class string, from_capsid boolean, hallmark_count int")
+    got = {r.id: (r.cluster_id, r.cluster_size, r.max_ani) for r in gr.cluster_and_propagate(n, e).collect()}
+    assert got == {"c2": (0, 3, 100.0), "c3": (0, 3, 100.0), "x": (0, 3, 97.0), "z": (-1, 1, 0.0)}
+
+
+def test_components_of_a_hub(spark):
+    e = spark.createDataFrame([(5000, i) for i in range(3000)], "a bigint, b bigint")
+    nodes = spark.createDataFrame([(5000,), (7,), (9999,)], "id bigint")
+    assert {r.id: r.root for r in gr.components(nodes, e).collect()} == {5000: 0, 7: 0, 9999: 9999}
+
+
 def test_nearest_blocks_agree_with_one_block(spark):
     rng = random.Random(1)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(60)] + [(60, [0.0] * 8)]

@@ -17,7 +17,7 @@ def greedy(rows):
     return sorted(o[2] for o in out)
 
 
-def test_greedy_choice_in_both_forms(spark):
+def test_greedy_choice(spark):
     rng = random.Random(7)
     rows = []
     for i in range(150):
@@ -26,13 +26,18 @@ def test_greedy_choice_in_both_forms(spark):
     rank = rng.sample(range(1000), len(rows))
     rows = [(*r[:5], k) for r, k in zip(rows, rank)]
     d = spark.createDataFrame(rows, "g string, s string, i bigint, start bigint, end bigint, rank bigint")
-    want = greedy(rows)
-    for factor in (10**9, 0):  # pairs only, then the dyadic form only
-        got = sel.greedy_disjoint(d, KEYS, "rank", 64, 11, dense_factor=factor)
-        assert sorted(x.i for x in got.collect()) == want
-    a = {x.i: x.best for x in sel.best_overlapping(d, KEYS, "rank", 11).collect()}
-    b = {x.i: x.best for x in sel.best_among_pairs(d, KEYS, "rank", 64).collect()}
-    assert a == b
+    assert sorted(x.i for x in sel.greedy_disjoint(d, KEYS, "rank", 64).collect()) == greedy(rows)
+    best = {r[2]: min(o[5] for o in rows if o[1] == r[1] and o[3] < r[4] and o[4] > r[3]) for r in rows}
+    assert {x.i: x.best for x in sel.best_overlapping(d, KEYS, "rank", sel.bits_for(d)).collect()} == best
+
+
+def test_greedy_choice_with_a_very_long_record(spark):
+    far = 2**24
+    rows = [("g", "A", i, i * 100_000, i * 100_000 + 50, 2 * i) for i in range(1, 162)] + [("g", "A", 900, 0, far, 161), ("g", "A", 901, far + 5, far + 9, 0)]
+    d = spark.createDataFrame(rows, "g string, s string, i bigint, start bigint, end bigint, rank bigint")
+    best = {x.i: x.best for x in sel.best_overlapping(d, KEYS, "rank", sel.bits_for(d)).collect()}
+    assert best[900] == 2 and best[1] == 2 and best[161] == 161 and best[901] == 0
+    assert sorted(x.i for x in sel.greedy_disjoint(d, KEYS, "rank", 65536).collect()) == greedy(rows)
 
 
 def test_gate_is_monotone_in_tier(spark):
