@@ -25,6 +25,8 @@ from .text import pieces, texts
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: ASCII bytes other than letters only part words.
 _WORDS = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
+#: Labels up to which their sampling shares are broadcast.
+FEW = 10_000
 #: Words up to this many bytes can't underflow; longer ones are rescaled on the way.
 SHORT = 24
 
@@ -146,7 +148,8 @@ def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     Only expected counts per piece and language come to the driver: at most the vocabulary times the languages.
     """
     rows = rows.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(label).alias("l"), F.col(text).alias("t"))
-    share = rows.groupBy("l").agg((F.lit(float(fit.per_language)) / F.count(F.lit(1))).alias("share"))
+    share = cut(rows.groupBy("l").agg((F.lit(float(fit.per_language)) / F.count(F.lit(1))).alias("share")))
+    share = F.broadcast(share) if share.count() <= FEW else share  # else texts would move by language, most of them to one task
     chosen = rows.join(share, "l").filter(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("l", "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import hits as hx
-
+from ..functions import vocab
 from ..operators import hits as ho
 from ..operators import refine as rf
 from ..operators import regions as rg
@@ -14,7 +14,7 @@ from .candidate_queries import G, SEEDS, seeds
 from .fingerprint_queries import HOST, host_scores, jaccard_sql
 from .hit_queries import CAPSID, SUMMARY, VALID_CTES, placed_markers, summary, validated
 from .registry import query
-from .tables import GENES, KEYS, MARKERS, genes
+from .tables import GENES, HITS, KEYS, MARKERS, RANKED, genes
 
 
 def gene_taxonomy(spark, sf):
@@ -43,9 +43,8 @@ def region_assembly(spark, sf):
     return rg.assemble_regions(m, g, lengths, KEYS, G)
 
 
-@query(
-    "anchor_seeds",
-    f"""WITH {GENES}, {MARKERS}, b AS (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY score DESC, ordinal) AS rn FROM markers),
+#: Seeds around anchors, up to numbered islands.
+ANCHORS = f"""{GENES}, {MARKERS}, b AS (SELECT *, row_number() OVER (PARTITION BY gene_id ORDER BY score DESC, ordinal) AS rn FROM markers),
     a AS (SELECT g.genome_id, g.scaffold, g.gene_id, g."start", g."end", b.model, b.score FROM b JOIN genes g USING (gene_id)
        WHERE rn = 1 AND score >= 50 AND evalue <= 1e-5),
     h AS (SELECT g.genome_id, g.scaffold, g.gene_id, g."start", g."end", f.score FROM (SELECT * FROM markers QUALIFY row_number() OVER (PARTITION BY gene_id ORDER BY ordinal) = 1) f JOIN genes g USING (gene_id)),
@@ -54,7 +53,12 @@ def region_assembly(spark, sf):
     q AS (SELECT a.*, coalesce(ns, 0) AS ns, greatest(0, "start" - 50000) AS s, "end" + 50000 AS e FROM a LEFT JOIN n USING (gene_id)
        WHERE coalesce(ns, 0) >= 10 OR score >= 100),
     p AS (SELECT *, max(e) OVER (PARTITION BY genome_id, scaffold ORDER BY s, gene_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM q),
-    c AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + 10000 THEN 1 ELSE 0 END) OVER (PARTITION BY genome_id, scaffold ORDER BY s, gene_id) AS isl FROM p)
+    c AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + 10000 THEN 1 ELSE 0 END) OVER (PARTITION BY genome_id, scaffold ORDER BY s, gene_id) AS isl FROM p)"""
+
+
+@query(
+    "anchor_seeds",
+    f"""WITH {ANCHORS}
     SELECT scaffold, min(s) AS "start", max(e) AS "end", count(*) AS n_anchors, string_agg(DISTINCT lower(model), ',' ORDER BY lower(model)) AS types,
       round(max(ns), 6) AS neighbour_score FROM c GROUP BY genome_id, scaffold, isl""",
 )
@@ -74,7 +78,35 @@ def _anchor_seeds(spark, sf):
     return rg.anchor_seeds(anchors.select(*KEYS, "gene_id", "start", "end", "model", "score"), KEYS, 65536, hits=first.select(*KEYS, "gene_id", "start", "end", "score"))
 
 
-@query("seed_diversity")
+def _listed(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _both(values) -> str:
+    return f"len(list_intersect(types, {_listed(values)}))"
+
+
+DIAGNOSTIC = [m for p in rg.FAMILY_PROFILES.values() for m in p[0]]
+_POINTS = {f: f"(2 * {_both(p[0])} + {_both(p[1])})" for f, p in rg.FAMILY_PROFILES.items()}
+_FAMILY = "CASE WHEN pts = 0 THEN NULL " + " ".join(f"WHEN {v} = pts THEN '{f}'" for f, v in _POINTS.items()) + " END"
+_FLOOR = " ".join(f"WHEN '{f}' THEN {p[3]}" for f, p in rg.FAMILY_PROFILES.items())
+_NEED = " ".join(f"WHEN '{f}' THEN {p[2]}" for f, p in rg.FAMILY_PROFILES.items())
+MODES = ", ".join(f"('{m}', {v[0]}, {v[1]}, {v[2]}, {str(v[4]).upper()})" for m, v in vocab.ASSEMBLY_MODES.items())
+
+
+@query(
+    "seed_diversity",
+    f"""WITH {ANCHORS},
+    sd AS (SELECT list_sort(list(DISTINCT lower(model))) AS types, max(score) AS best, max(ns) AS near FROM c GROUP BY genome_id, scaffold, isl),
+    pt AS (SELECT *, greatest({', '.join(_POINTS.values())}) AS pts FROM sd), fm AS (SELECT *, {_FAMILY} AS family FROM pt),
+    md(mode, min_types, single, high, accept) AS (VALUES {MODES}),
+    x AS (SELECT *, greatest(single, CASE family {_FLOOR} ELSE 0 END) AS score_floor, CASE family {_NEED} ELSE 1 END AS need FROM fm, md),
+    r AS (SELECT mode, family, CASE WHEN accept AND len(types) >= need AND best >= score_floor THEN 'high_score_single'
+        WHEN accept AND len(types) >= need AND {_both(DIAGNOSTIC)} > 0 THEN 'single_diagnostic'
+        WHEN len(types) = 1 AND starts_with(types[1], 'gvogm') THEN 'single_gvogm' WHEN len(types) < min_types THEN NULL WHEN len(types) >= 3 THEN 'high_diversity'
+        WHEN {_both([*DIAGNOSTIC, *rg.VIRUS_SPECIFIC])} > 0 THEN 'virus_specific' WHEN near >= high THEN 'high_neighbour' END AS accepted_by FROM x)
+    SELECT mode, accepted_by, family, count(*) AS n FROM r WHERE accepted_by IS NOT NULL GROUP BY ALL""",
+)
 def seed_diversity(spark, sf):
     from functools import reduce
 
@@ -241,7 +273,34 @@ def refinement_inputs(spark, sf):
     return s, g
 
 
-@query("taxonomy_refinement")
+REGION_GENES = f"""{GENES}, {HITS}, {RANKED}, {SUMMARY}, {IDX}, {SEEDS},
+    hv AS (SELECT gene_id, bool_or(prefix = 'EUK__') AS host FROM ranked GROUP BY gene_id),
+    tch AS (SELECT r.region_id, r.genome_id, r.scaffold, any_value(r_start) AS rs, any_value(r_end) AS re, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id
+       AND g.scaffold = r.scaffold AND g."start" < r.r_end AND g."end" > r.r_start GROUP BY ALL),
+    rgn AS (SELECT t.region_id, rs, re, i AS pos, CASE WHEN i < lo THEN 'up' WHEN i > hi THEN 'down' ELSE 'in' END AS role, greatest(lo - i, i - hi, 0) AS dist, g."start" AS s, g."end" AS e,
+       coalesce(has_qualified, false) AS viral, coalesce(host, false) AND NOT coalesce(has_qualified, false) AS hostly
+       FROM tch t JOIN idx g ON g.genome_id = t.genome_id AND g.scaffold = t.scaffold AND i BETWEEN lo - 5 AND hi + 5 LEFT JOIN summary u ON u.gene_id = g.gene_id LEFT JOIN hv ON hv.gene_id = g.gene_id)"""
+
+
+def refined_sql(name: str, use_host: bool) -> str:
+    """Bounds after trimming host ends and following viral genes up to the next host gene; ``name`` prefixes the tables."""
+    hostly = "hostly" if use_host else "false"
+    return f"""
+    {name}a AS (SELECT region_id, any_value(rs) AS rs, any_value(re) AS re, min(s) AS fs, max(e) AS fe,
+       min(pos) FILTER (role = 'in' AND e > rs AND s < re AND NOT {hostly}) AS lp, max(pos) FILTER (role = 'in' AND e > rs AND s < re AND NOT {hostly}) AS rp,
+       min({{'d': dist, 'at': e}}) FILTER (role = 'up' AND {hostly}) AS ub, min({{'d': dist, 'at': s}}) FILTER (role = 'down' AND {hostly}) AS db FROM rgn GROUP BY region_id),
+    {name}b AS (SELECT region_id, max(e) FILTER ({hostly} AND (lp IS NULL OR pos < lp)) AS lc, min(s) FILTER ({hostly} AND (rp IS NULL OR pos > rp)) AS rc
+       FROM rgn JOIN {name}a USING (region_id) WHERE role = 'in' AND e > {name}a.rs AND s < {name}a.re GROUP BY region_id),
+    {name}c AS (SELECT a.*, greatest(rs, coalesce(lc, rs)) AS t1, least(re, coalesce(rc, re)) AS t2 FROM {name}a a LEFT JOIN {name}b USING (region_id)),
+    {name}d AS (SELECT * EXCLUDE (t1, t2), CASE WHEN t1 < t2 THEN t1 ELSE rs END AS ts, CASE WHEN t1 < t2 THEN t2 ELSE re END AS te FROM {name}c),
+    {name}e AS (SELECT d.region_id, min(s) AS va, max(e) AS vb FROM rgn JOIN {name}d d USING (region_id) WHERE viral AND CASE role WHEN 'up' THEN d.ub IS NULL OR dist < d.ub.d
+       WHEN 'down' THEN d.db IS NULL OR dist < d.db.d ELSE e > ts AND s < te END GROUP BY d.region_id),
+    {name}f AS (SELECT d.*, greatest(CASE WHEN va IS NULL THEN ts ELSE greatest(0, least(ts, va) - 5000) END, CASE WHEN ts > rs THEN ts ELSE fs END, coalesce(d.ub.at, fs), fs) AS s1,
+       least(CASE WHEN va IS NULL THEN te ELSE greatest(te, vb) + 5000 END, CASE WHEN te < re THEN te ELSE fe END, coalesce(d.db.at, fe), fe) AS e1 FROM {name}d d LEFT JOIN {name}e USING (region_id)),
+    {name} AS (SELECT region_id, CASE WHEN e1 <= s1 THEN ts ELSE s1 END AS "start", CASE WHEN e1 <= s1 THEN te ELSE e1 END AS "end" FROM {name}f)"""
+
+
+@query("taxonomy_refinement", f'WITH {REGION_GENES}, {refined_sql("fin", True)} SELECT region_id, "start", "end" FROM fin')
 def taxonomy_refinement(spark, sf):
     s, g = refinement_inputs(spark, sf)
     return rf.refine_by_taxonomy(s, g, ["region_id"])
@@ -341,7 +400,11 @@ def heuristic_probability(spark, sf):
     return learn.heuristic_probability(learn.gene_features(g)).select("gene_id", F.round("probability", 6).alias("probability"))
 
 
-@query("host_rule_arm")
+@query(
+    "host_rule_arm",
+    f"""WITH {REGION_GENES}, {refined_sql("fin", True)}, {refined_sql("off", False)}
+    SELECT 'A4' AS arm, count(*) AS opportunities, count(*) FILTER (fin."start" <> off."start" OR fin."end" <> off."end") AS changed FROM fin JOIN off USING (region_id)""",
+)
 def host_rule_arm(spark, sf):
     """Seeds whose bounds change when the host rules are off."""
     from ..operators.arms import coordinate_effects
