@@ -119,14 +119,14 @@ def vector_nearest(spark, sf):
 
 @query(
     "marker_set_distance",
-    """WITH s AS (SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS items FROM events WHERE value > 60 GROUP BY user_id),
+    """WITH e AS (SELECT user_id, event_type || CAST(floor(value / 100) AS INT) AS item FROM events), s AS (SELECT user_id, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM e GROUP BY user_id),
     d AS (SELECT items, count(*) AS nk, min(user_id) AS rep FROM s GROUP BY items), r AS (SELECT rep, nk, len(string_split(items, ',')) AS n, unnest(string_split(items, ',')) AS i FROM d)
     SELECT x.rep AS a, y.rep AS b, x.nk AS n_a, y.nk AS n_b, round(1 - count(*) / (x.n + y.n - count(*)), 6) AS distance FROM r x JOIN r y ON x.i = y.i AND x.rep < y.rep
     GROUP BY x.rep, y.rep, x.nk, y.nk, x.n, y.n""",
 )
 def marker_set_distance(spark, sf):
-    rows = track(spark, sf).filter(F.col("score") > 60)
-    return sm.set_distances(rows, "scaffold", "kind").withColumn("distance", F.round("distance", 6))
+    rows = track(spark, sf).withColumn("item", F.concat("kind", F.floor(F.col("score") / 100).cast("string")))
+    return sm.set_distances(rows, "scaffold", "item").withColumn("distance", F.round("distance", 6))
 
 
 # ------------------------------------------------------------------ evidence

@@ -101,16 +101,15 @@ def sliding_window_markers(spark, sf):
 
 @query(
     "neighbour_score",
-    f"""WITH {TRACK}, h AS (SELECT * FROM track WHERE kind IN ('view', 'click'))
+    f"""WITH {TRACK}
     SELECT a.gene_id, round(sum(b.score) / 50, 6) AS neighbour_score, count(*) AS neighbours
-    FROM h a JOIN h b ON a.genome_id = b.genome_id AND a.scaffold = b.scaffold AND a.gene_id <> b.gene_id
+    FROM track a JOIN track b ON a.genome_id = b.genome_id AND a.scaffold = b.scaffold AND a.gene_id <> b.gene_id
      AND least(abs(a."start" - b."start"), abs(a."end" - b."end")) <= 50000 GROUP BY a.gene_id""",
 )
 def neighbour_score(spark, sf):
     from ..operators.neighbors import neighbour_scores
 
-    rows = track(spark, sf).filter(F.col("kind").isin("view", "click"))
-    return neighbour_scores(rows, KEYS, "gene_id", 50000).select(
+    return neighbour_scores(track(spark, sf), KEYS, "gene_id", 50000).select(
         "gene_id", F.round("neighbour_score", 6).alias("neighbour_score"), "neighbours"
     )
 

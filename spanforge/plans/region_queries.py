@@ -326,7 +326,7 @@ def envelope_clamp(spark, sf):
 @query("adjacent_merge")
 def adjacent_merge(spark, sf):
     g = indexed(spark, sf).join(gene_taxonomy(spark, sf).select("gene_id", F.col("has_qualified").alias("viral")), "gene_id")
-    b = genes(spark, sf).filter(F.col("priority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")).select(
+    b = genes(spark, sf).select(
         *KEYS, F.col("gene_id").alias("region_id"), F.greatest(F.lit(0), F.col("start") - 3000).alias("start"), (F.col("end") + 3000).alias("end"),
         (F.col("gene_id") % 4 == 0).alias("kind"), (F.col("status") != "P").alias("joinable"),
     )

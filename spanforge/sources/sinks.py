@@ -106,15 +106,20 @@ def write_text(lines: DataFrame, path: str, header: str | None = None) -> None:
     ).write.mode("overwrite").partitionBy("part").text(path)
 
 
+def write_clustered(df: DataFrame, path: str, key: str) -> None:
+    """One table in ranges of ``key``, so that all rows of one key lie together and few files are made."""
+    df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+
+
 def write_region_sequences(regions: DataFrame, path: str) -> None:
-    """One folder of nucleotide text per candidate, keyed by its id."""
+    """FASTA text of all candidates as one table clustered by candidate."""
     text = F.concat(F.lit(">"), F.col("eve_id"), F.lit("\n"), F.col("region_seq"))
-    regions.select("eve_id", text.alias("value")).write.mode("overwrite").partitionBy("eve_id").text(path)
+    write_clustered(regions.select("eve_id", text.alias("value")), path, "eve_id")
 
 
 def write_gene_taxonomy(genes: DataFrame, path: str) -> None:
-    """Gene rows per candidate as one table partitioned by candidate."""
-    genes.write.mode("overwrite").partitionBy("candidate_id").parquet(path)
+    """Gene rows of all candidates as one table clustered by candidate."""
+    write_clustered(genes, path, "candidate_id")
 
 
 def write_stage(df: DataFrame, path: str) -> DataFrame:
