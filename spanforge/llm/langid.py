@@ -163,6 +163,7 @@ def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str =
             yield pa.RecordBatch.from_arrays(cols, names=["l", "w", "n"])
 
     counts = cut(chosen.mapInArrow(count, "l string, w binary, n long").groupBy("l", "w").agg(F.sum("n").alias("n")))
+    counts = counts.coalesce(rows.sparkSession.sparkContext.defaultParallelism)  # a bounded sample: each task loads the model once
     langs = [r.l for r in counts.select("l").distinct().orderBy("l").collect()]
     if not langs:
         return None
