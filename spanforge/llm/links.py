@@ -1,29 +1,5 @@
 """Components of a link table without hub tasks."""
 
-from __future__ import annotations
+from ..operators.graph import roots as components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..session import cut
-
-
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``node, root`` for every linked node that isn't a root itself; root is the smallest node it reaches.
-
-    Each round ties all smaller neighbours of a node to the smallest one (its parent) and lifts
-    each parent to its own parent. Only the minimum per node is aggregated, map-side first; the
-    joins are plain ones between written tables, so adaptive execution can split a hub's rows.
-    Rounds grow with the logarithm of the longest chain. Null ends and self links are ignored;
-    an empty table gives an empty one.
-    """
-    x, y = F.col(a), F.col(b)
-    e = cut(links.filter(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct())
-    while True:
-        parent = cut(e.groupBy("u").agg(F.min("v").alias("p")))
-        rest = e.join(parent, "u").filter("v <> p").select(F.col("v").alias("u"), F.col("p").alias("v"), F.lit(1).alias("moved"))
-        above = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        lifted = parent.join(above, "p", "left").select("u", F.coalesce("pp", "p").alias("v"), F.col("pp").isNotNull().cast("int").alias("moved"))
-        e = cut(rest.unionByName(lifted).groupBy("u", "v").agg(F.max("moved").alias("moved")))
-        if not e.agg(F.max("moved")).first()[0]:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+__all__ = ["components"]

@@ -170,7 +170,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     distinct = cut(fps.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(block_links(distinct.select("fp"), distance))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = cut(named.groupBy("root").agg(F.min("least").alias("component_id")))  # written, so that a large group's rows can be split
     of = cut(named.select("fp", "root").join(least, "root").select("fp", "component_id"))
     return fps.join(of, "fp").select(key, "fp", "component_id")
 

@@ -194,7 +194,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vec: str = "embedding", lab
     roots = components(met.select("u", "v"), "u", "v").withColumnRenamed("node", "u")
     named = one.join(met.groupBy("u").agg(F.sum("links").alias("links")), "u", "left").join(roots, "u", "left")
     named = cut(named.select("label", "vec", "least", "n", "links", F.coalesce("root", "u").alias("root")))
-    component = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    component = cut(named.groupBy("root").agg(F.min("least").alias("component_id")))  # written, so that a large group's rows can be split
     known = named.join(component, "root").select(F.col("label").alias("_label"), F.col("vec").alias("_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     out = rows.join(cut(known), ["_label", "_v"], "left").withColumn("component_id", F.coalesce("component_id", "_key"))
     return out.select(F.col("_key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id", F.col("_key").eqNullSafe(F.col("component_id")).alias("kept"))
