@@ -176,9 +176,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of its group, one row of each such key.
+    """The rows of ``docs`` whose (integer) key is the smallest of its group, one row of each such key, all columns kept.
 
-    Rows with equal keys are one document: the first by text stays. All columns are kept.
+    Rows with one key are one document, of which any one row stays. A row without a key is known by
+    its text: it goes if its group has a document with a key, else one row of the group stays.
     """
-    groups = near_duplicates(docs, key, text, **how).filter(F.col(key) == F.col("component_id")).select(key).distinct()
-    return docs.join(groups, key, "left_semi").dropDuplicates([key])
+    own = F.coalesce(F.col(key).cast("long"), F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62))
+    named = docs.withColumn("_dedup_key", own)
+    groups = near_duplicates(named, "_dedup_key", text, **how).filter("_dedup_key = component_id").select("_dedup_key").distinct()
+    return named.join(groups, "_dedup_key", "left_semi").dropDuplicates(["_dedup_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -69,6 +69,8 @@ def test_empty_and_null_keys(spark):
     rows = spark.createDataFrame([(None, "a b c d e"), (4, "a b c d e"), (4, "a b c d e"), (9, None)], "doc_id long, text string")
     assert sorted((x.doc_id or 0, x.component_id) for x in simhash.near_duplicates(rows).collect()) == [(0, 4), (4, 4), (4, 4), (9, 9)]
     assert sorted(x.doc_id for x in simhash.keep_one(rows).collect()) == [4, 9]
+    keyless = spark.createDataFrame([(None, "a b c d e"), (None, "A B C D E"), (None, "quite other words here"), (4, "f g h i j")], "doc_id long, text string")
+    assert sorted((x.doc_id or 0, x.text.lower()) for x in simhash.keep_one(keyless).collect()) == [(0, "a b c d e"), (0, "quite other words here"), (4, "f g h i j")]
 
 
 def test_components_of_chains_and_hubs(spark):
