@@ -11,7 +11,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from spanforge.llm import langid, lines, mixing, packing, simhash
-from spanforge.llm.text import documents
+from spanforge.llm.text import documents, small_batches
 from spanforge.session import shared_path
 
 
@@ -20,11 +20,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts, texts without a letter and those of unsure language (below one half) go.
     """
+    small_batches(spark)
     return langid.sure(docs, langid.train(docs))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that break a rule go, then documents that lost too much; texts and their length are those left."""
+    small_batches(spark)
     return lines.keep_clean(docs)
 
 
@@ -33,6 +35,7 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Groups are those of the operator's contract: four-word fingerprints within four bits.
     """
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -43,6 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place of every piece of every drawn document in sequences of 2048 tokens."""
+    small_batches(spark)
     return packing.pack(packing.tokens(docs, with_ids=False))
 
 

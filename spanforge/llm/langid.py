@@ -93,7 +93,7 @@ class Pieces:
         out = np.empty((len(words), self.p.shape[1]))
         size = np.fromiter(map(len, words), np.int64, len(words))
         for length in np.unique(size):
-            for at in np.array_split(np.flatnonzero(size == length), 1 + int((size == length).sum() * length) // 2_000_000):
+            for at in np.array_split(np.flatnonzero(size == length), 1 + int((size == length).sum() * length) // 500_000):
                 grid, n = self._grid(words, at, length), len(at)
                 ways = [np.zeros((n, self.p.shape[1])) for _ in range(length + 1)]
                 ways[0] += 1
@@ -117,7 +117,7 @@ class Pieces:
         total, p = np.zeros(len(self.p)), self.p[:, lang]
         size = np.fromiter(map(len, words), np.int64, len(words))
         for length in np.unique(size[size <= SHORT]):
-            for at in np.array_split(np.flatnonzero(size == length), 1 + int((size == length).sum() * length) // 1_000_000):
+            for at in np.array_split(np.flatnonzero(size == length), 1 + int((size == length).sum() * length) // 500_000):
                 grid = self._grid(words, at, length)
                 steps = [(s, e, node.copy()) for s in range(length) for e, node in self._walk(grid, s)]
                 left, right = np.zeros((length + 1, len(at))), np.zeros((length + 1, len(at)))
@@ -211,7 +211,7 @@ class _Ids(dict):
 class Scorer:
     """Sums word scores over texts; scores of up to ``most`` different words are kept for reuse."""
 
-    def __init__(self, model: Pieces, most: int = 300_000):
+    def __init__(self, model: Pieces, most: int = 200_000):
         self.model, self.most = model, most
         self.ids, self.scores, self.n = _Ids(), np.empty((1024, len(model.langs))), 0
 
@@ -254,7 +254,8 @@ def predict(docs: DataFrame, model: Pieces | None, keep: Sequence[str] = ("doc_i
     ``keep`` and ``text`` are not read.
     """
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    columns = [docs[c] for c in keep]
+    columns = [docs[c] for c in keep] + [docs[text].alias("_text")] * (text not in keep)
+    place = list(keep).index(text) if text in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
@@ -269,7 +270,7 @@ def predict(docs: DataFrame, model: Pieces | None, keep: Sequence[str] = ("doc_i
                     np.add.at(logs, [i for i, _ in wait], scorer([w for _, w in wait]))
                     wait.clear()
 
-            for i, t in enumerate(texts(b.column(len(keep))) if model else ()):
+            for i, t in enumerate(texts(b.column(place)) if model else ()):
                 for words in words_of(t):
                     if words:
                         known[i] = True
@@ -285,7 +286,7 @@ def predict(docs: DataFrame, model: Pieces | None, keep: Sequence[str] = ("doc_i
             more = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *more], names=schema.names)
 
-    return docs.select(*columns, docs[text].alias("_text")).mapInArrow(run, schema)
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def sure(docs: DataFrame, model: Pieces | None, text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:

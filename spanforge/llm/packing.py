@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import re
 import zlib
 from array import array
@@ -20,7 +21,7 @@ from ..session import cut
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: White space as the vocabulary's own splitting rule has it.
-_SPACE = r"[\t-\r \x85\xa0  -     　]"
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _ODD = re.compile(rf" (?={_SPACE}|\Z)")
 _CHUNKS = re.compile(rf" ?[^{_SPACE[1:-1]}]+|{_SPACE}+(?![^{_SPACE[1:-1]}])|{_SPACE}+")
 
@@ -47,7 +48,7 @@ class Encoder:
     parts, which repeat a lot, be reused. Special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str | None = None, most: int = 600_000):
+    def __init__(self, path: str | None = None, most: int = 250_000):
         with open(path or public_tokenizers.path(RANKS), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         encode = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
@@ -61,12 +62,10 @@ class Encoder:
         return lead + b"".join(map(self.after.__getitem__, rest))
 
 
-_ENCODERS: dict[str | None, Encoder] = {}
-
-
+@functools.cache
 def _encoder(path: str | None) -> Encoder:
     """One per worker process, so that tasks share what it has learned."""
-    return _ENCODERS.setdefault(path, None) or _ENCODERS.__setitem__(path, Encoder(path)) or _ENCODERS[path]
+    return Encoder(path)
 
 
 def spans(length: int, capacity: int) -> list[tuple[int, int]]:

@@ -14,7 +14,17 @@ SPACE = b" \t\n\x0b\x0c\r"
 PIECE = 1 << 20
 
 
+#: Rows of an Arrow batch; texts can be long, and a task holds a batch or two of them.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to Python in batches of ``BATCH_ROWS``."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
