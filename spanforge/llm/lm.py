@@ -32,8 +32,8 @@ ADD = 0.1
 class Shape:
     """``head`` words have outputs of their own, ``in_class`` in each class; ``endings`` classes hold the others.
 
-    Each of ``rounds`` trains on another ``share`` of the training documents (more, where that is
-    less than ``least_tokens``), everywhere at once, and averages what the tasks have learned.
+    Each of ``rounds`` trains on every training document, at any corpus size, everywhere at once,
+    and averages what the tasks have learned. ``least_tokens`` has no effect and is only accepted.
     ``chunk_tokens`` and ``chunk_words`` bound what a task holds at one time.
     """
 
@@ -43,7 +43,6 @@ class Shape:
     ending: int = 3
     hidden: int = 16
     inner: int = 16
-    share: float = 0.04
     least_tokens: int = 1_500_000
     rounds: int = 2
     streams: int = 64
@@ -157,7 +156,9 @@ class Network:
         g = on_gates.reshape(-1, 3 * size)
         flat = symbols.ravel()
         per_symbol = np.zeros((len(self.p["E"]), 3 * size), np.float32)
-        np.add.at(per_symbol, flat, g)
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        per_symbol[flat[order[first]]] = np.add.reduceat(g[order], first, 0)
         return {"Wh": grad_wh, "b": g.sum(0), "Wx": self.p["E"].T @ per_symbol, "E": per_symbol @ self.p["Wx"].T}
 
 
@@ -206,9 +207,9 @@ def train(net: Network, docs: list[np.ndarray], shape: Shape, classes: np.ndarra
         on_states = np.zeros_like(before)
         on_states[live] = grads.pop("h")
         grads |= net.backward(symbols, before, kept, on_states)
-        n, step = live.sum(), step + 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) / n
-        rate = shape.rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        n, step = int(live.sum()), step + 1
+        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads.values()))) / n
+        rate = float(shape.rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step))
         for k, g in grads.items():
             g = g / n * min(1.0, 1.0 / max(norm, 1e-9))
             m[k] = 0.9 * m[k] + 0.1 * g
@@ -480,13 +481,11 @@ def score_documents(docs: DataFrame, held: Column, key: str = "doc_id", text: st
     path = shared_path(spark, "lm-counts")
     pairs.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0").write.parquet(path)
     counts = spark.read.parquet(path)
-    of_docs = staged.filter("kind = 2 and not held").agg(F.count(F.lit(1)).alias("docs"), (F.sum("n") + F.count(F.lit(1))).alias("tokens")).first()
+    of_docs = staged.filter("kind = 2 and not held").agg(F.count(F.lit(1)).alias("docs")).first()
     vocab = vocabulary(counts, of_docs["docs"], shape)
     net = vocab.network()
-    share = min(1.0, max(shape.share, shape.least_tokens / max(1, of_docs["tokens"] or 0)))
-    for turn in range(shape.rounds):
-        part = F.pmod(F.xxhash64("key", "text", F.lit(turn)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-        net = _learn(rows.filter(~F.col("held") & part).select("text"), vocab, net, shape)
+    for _ in range(shape.rounds):
+        net = _learn(rows.filter(~F.col("held")).select("text"), vocab, net, shape)
     found = pairs.join(counts, "word").select("chunk", "id", "c").mapInArrow(_by_chunk, "chunk long, blob binary, counts binary")
     none = F.lit(None)
     found = found.select("chunk", F.lit(1).alias("kind"), none.cast("boolean").alias("held"), none.cast("long").alias("n"), "blob", "counts", none.cast(docs.schema[key].dataType).alias("key"))

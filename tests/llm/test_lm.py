@@ -122,3 +122,13 @@ def test_empty_and_nothing_to_learn(spark):
 def test_model_beats_the_base_on_held_out_texts(spark):
     got = queries.op4_lm_score(spark, "/root/testdata/sf0.01").filter("held_out").agg(F.sum("n_tokens").alias("n"), F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert got.s > got.b + 0.1 * got.n
+
+
+def test_every_round_trains_on_every_training_document(spark, monkeypatch):
+    rows = [(i, f"text {i % 50} of many") for i in range(400)] + [(None, "no key"), (7, "twice"), (7, "twice"), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = []
+    monkeypatch.setattr(lm, "_learn", lambda part, vocab, net, shape: learned.append([r.text for r in part.collect()]) or net)
+    lm.score_documents(df, fold("doc_id", 10) == 0, shape=lm.Shape(least_tokens=0))
+    want = [t for i, t in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 10]
+    assert len(learned) == lm.Shape().rounds and all(sorted(map(str, x)) == sorted(map(str, want)) for x in learned)
