@@ -27,7 +27,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _WORDS = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
 #: Labels up to which their sampling shares are broadcast.
 FEW = 10_000
-#: Words up to this many bytes can't underflow; longer ones are rescaled on the way.
+#: Words up to this many bytes can't underflow; longer ones are rescaled on the way or summed as logarithms.
 SHORT = 24
 
 
@@ -35,32 +35,32 @@ SHORT = 24
 class Fit:
     """``per_language``: labelled rows a language is learned from, in expectation, chosen by a hash of the key.
 
-    ``longest``: bytes of the longest piece used. ``shared``: weight of the mean of all languages
+    ``longest``: bytes of the longest piece used, if there is a limit. ``shared``: weight of the mean of all languages
     in each one's probabilities, ``floor`` that of the bytes, so that no word has probability 0.
     """
 
     per_language: int = 3000
     rounds: int = 4
-    longest: int = 8
+    longest: int | None = None
     shared: float = 0.02
     floor: float = 1e-4
     prune: float = 1e-7
 
 
-def vocabulary(path: str | None = None, longest: int = 8) -> list[bytes]:
+def vocabulary(path: str | None = None, longest: int | None = None) -> list[bytes]:
     """Pieces that can occur in normalised words: the single bytes and those of lower-case letters and other scripts."""
     with open(path or public_tokenizers.path(VOCABULARY), "rb") as f:
         found = {base64.b64decode(line.split()[0]) for line in f if line.strip()}
     ok = set(range(97, 123)) | set(range(0x80, 0x100))
     single = {bytes([b]) for b in ok | {32}}
-    return sorted(single | {p for p in found if 1 < len(p) <= longest and set(p[1:]) <= ok and p[0] in ok | {32}})
+    return sorted(single | {p for p in found if 1 < len(p) <= (longest or len(p)) and set(p[1:]) <= ok and p[0] in ok | {32}})
 
 
 class Pieces:
     """A trie over pieces and, at the node of each piece, its probability per language."""
 
     def __init__(self, vocab: list[bytes], probability: np.ndarray, langs: list[str]):
-        self.langs, self.vocab = langs, vocab
+        self.langs, self.vocab, self.reach = langs, vocab, max(map(len, vocab))
         self.symbol = np.zeros(256, np.uint8)
         used = sorted(set(b"".join(vocab)))
         self.symbol[used] = np.arange(1, len(used) + 1)
@@ -100,9 +100,9 @@ class Pieces:
                 scale = np.zeros((n, self.p.shape[1]))
                 for start in range(length):
                     if length > SHORT and start:
-                        most = np.maximum.reduce(ways[start : start + 64])
+                        most = np.maximum.reduce(ways[start : start + self.reach])
                         most[most <= 0] = 1
-                        for w in ways[start : start + 64]:
+                        for w in ways[start : start + self.reach]:
                             w /= most
                         scale += np.log(most)
                     for end, node in self._walk(grid, start):
@@ -113,9 +113,12 @@ class Pieces:
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray, lang: int) -> np.ndarray:
-        """Expected uses of each piece of the vocabulary in the words, under one language; words over ``SHORT`` bytes are left out."""
+        """Expected uses of each piece of the vocabulary in the words, under one language."""
         total, p = np.zeros(len(self.p)), self.p[:, lang]
         size = np.fromiter(map(len, words), np.int64, len(words))
+        for length in np.unique(size[size > SHORT]):
+            for at in np.array_split(np.flatnonzero(size == length), 1 + int((size == length).sum() * length) // 500_000):
+                self._expected_long(self._grid(words, at, length), counts[at], p, total)
         for length in np.unique(size[size <= SHORT]):
             for at in np.array_split(np.flatnonzero(size == length), 1 + int((size == length).sum() * length) // 500_000):
                 grid = self._grid(words, at, length)
@@ -131,6 +134,22 @@ class Pieces:
                     total += np.bincount(node, left[s] * p[node] * right[e] * weight, len(total))
         return total[self.node]
 
+    def _expected_long(self, grid: np.ndarray, counts: np.ndarray, p: np.ndarray, total: np.ndarray) -> None:
+        """Adds the expected uses to ``total``, by node; sums are logarithms and pieces are looked up twice, so that long words need little memory."""
+        n, length = grid.shape
+        with np.errstate(divide="ignore"):
+            log_p = np.log(p)
+        left, right = np.full((length + 1, n), -np.inf), np.full((length + 1, n), -np.inf)
+        left[0], right[length] = 0, 0
+        for s in range(length):
+            for e, node in self._walk(grid, s):
+                np.logaddexp(left[e], left[s] + log_p[node], out=left[e])
+        for s in reversed(range(length)):
+            for e, node in self._walk(grid, s):
+                rest = log_p[node] + right[e]
+                np.logaddexp(right[s], rest, out=right[s])
+                np.add.at(total, node, counts * np.exp(left[s] + rest - left[length]))
+
 
 def words_of(text: bytes) -> Iterator[list[bytes]]:
     """Lower-case words of a text, piece by piece, each with a space before it."""

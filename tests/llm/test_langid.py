@@ -101,3 +101,29 @@ def test_scorer_forgets_and_agrees(model):
 def test_held_out_accuracy(spark):
     got = queries.op2_language_id(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
     assert len(got) == 1000 and (got.lang == got.lang_pred)[got.held_out].mean() > 0.98
+
+
+def test_long_words_are_expected_like_short_ones(monkeypatch):
+    model, _ = small_model()
+    words, counts = [b" abc", b" cab", b" cabcabab", b" bcabcaba"], np.array([3, 2, 1, 5])
+    want = model.expected(words, counts, 0)
+    monkeypatch.setattr(langid, "SHORT", 3)
+    assert np.allclose(model.expected(words, counts, 0), want) and want.sum() > 0
+    monkeypatch.undo()
+    used = model.expected([b" " + b"cab" * 3000], np.array([2]), 1)
+    assert np.isclose(used @ [len(v) for v in model.vocab], 2 * 9001)
+
+
+def test_scripts_without_spaces(spark):
+    r = np.random.default_rng(4)
+    kinds = {"zh": "的一是不了人我在有他这为之大来以个中上们", "ja": "のにはをたがでてとしれさある日本語東京都", "th": "กขคงจชซญดตถทนบปผพมยร"}
+
+    def text(lang):
+        return "".join("".join(r.choice(list(kinds[lang]), int(r.integers(10, 30)))) + "，。" for _ in range(3))
+
+    rows = [(i, text(lang), lang) for i, lang in enumerate(list(kinds) * 20)] + [(100 + i, "the words of some english text", "en") for i in range(20)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    new = [(i, text(lang), lang) for i, lang in enumerate(list(kinds) * 5)]
+    got = langid.predict(spark.createDataFrame(new, "doc_id long, text string, lang string"), model, keep=("doc_id", "lang")).collect()
+    assert all(x.lang_pred == x.lang and x.score > 0.9 for x in got)
+    assert any(len(v) > 8 for v in langid.vocabulary())
