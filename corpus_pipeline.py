@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place of every piece of every drawn document in sequences of 2048 tokens."""
     small_batches(spark)
-    return packing.pack(packing.tokens(docs, with_ids=False))
+    return packing.pack(packing.tokens(docs, with_ids=False, special=True))
 
 
 STAGES = [

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: The vocabulary's one special token and its id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: White space as the vocabulary's own splitting rule has it.
 _SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _ODD = re.compile(rf" (?={_SPACE}|\Z)")
@@ -45,16 +47,23 @@ class Encoder:
     The same vocabulary is read as a table of ranks, which encodes single words several times
     faster; tests hold the ids against the other library's. Its rule never joins a character and
     a single space after it, so a text can be encoded between single spaces and the ids of the
-    parts, which repeat a lot, be reused. Special tokens in a text are ordinary text.
+    parts, which repeat a lot, be reused. The special token in a text is ordinary text or, with
+    ``special``, has its own id and parts the text, as in the other library's default setting.
     """
 
-    def __init__(self, path: str | None = None, most: int = 250_000):
+    def __init__(self, path: str | None = None, most: int = 250_000, special: bool = False):
+        self.special = special
         with open(path or public_tokenizers.path(RANKS), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         encode = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.after, self.alone = _Parts(encode, " ", most), _Parts(encode, "", most // 4)
 
     def ids(self, text: str) -> bytes:
+        if self.special and SPECIAL in text:
+            return SPECIAL_ID.to_bytes(4, "little").join(map(self._plain, text.split(SPECIAL)))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if _ODD.search(text):
             return b"".join(map(self.alone.__getitem__, _CHUNKS.findall(text)))
         first, *rest = text.split(" ")
@@ -63,9 +72,9 @@ class Encoder:
 
 
 @functools.cache
-def _encoder(path: str | None) -> Encoder:
+def _encoder(path: str | None, special: bool) -> Encoder:
     """One per worker process, so that tasks share what it has learned."""
-    return Encoder(path)
+    return Encoder(path, special=special)
 
 
 def spans(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -74,14 +83,15 @@ def spans(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, capacity) for at in range(first, length, capacity))]
 
 
-def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048, path: str | None = None, with_ids: bool = True) -> DataFrame:
+def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048, path: str | None = None, with_ids: bool = True, special: bool = False) -> DataFrame:
     """``key, piece, start, length, ids_crc32`` and, if asked for, ``ids``: a row per piece of each document.
 
-    A document is its ids and an id 0 at the end; a null text is empty and has only that.
+    A document is its ids and an id 0 at the end; a null text is empty and has only that. With
+    ``special`` the special token in a text has its own id, else it is ordinary text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, special)
         for b in batches:
             at, rows, ids = [], [], []
             for i, cell in enumerate(b.column(1)):

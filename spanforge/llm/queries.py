@@ -45,7 +45,7 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
-    return packing.pack(packing.tokens(documents(spark, sf_dir), with_ids=False))
+    return packing.pack(packing.tokens(documents(spark, sf_dir), with_ids=False, special=True))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,3 +89,20 @@ def test_query(spark, tokenizer):
     assert got.groupby("doc_id").length.sum().to_dict() == n
     fill = got.groupby("sequence_id").length.sum()
     assert fill.max() <= 2048 and len(fill) <= 1.01 * -(-sum(n.values()) // 2048) + 1
+
+
+SPECIALS = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y ", "a  <|endoftext|>  b\n<|endoftext|>", "<|endoftext|", "é <|ENDOFTEXT|> b"]
+
+
+def test_special_token_has_its_id_in_query_and_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    e = packing.Encoder(special=True)
+    for x in TEXTS + SPECIALS:
+        assert np.frombuffer(e.ids(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in enumerate(SPECIALS)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: zlib.crc32(np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4").tobytes()) for i, x in enumerate(SPECIALS)}
+    for got in (queries.op6_pack(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert {r.doc_id: r.ids_crc32 for r in got.collect()} == want
