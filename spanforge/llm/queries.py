@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, licenses, lines, lm, mixing, negatives, neighbours, packing, quality, simhash, vectors
+from . import chat, divergence, langid, licenses, lines, lm, mixing, negatives, neighbours, packing, quality, simhash, vectors
 from .text import documents, fold
 
 
@@ -70,6 +70,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.write_turns(turns.unionByName(own)))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their frequent terms."""
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every 50th vector; every 7th has the next label."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -82,5 +87,5 @@ def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_language_id, op3_license_scan, op4_lm_score, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup, op12_hard_negatives, op13_nearest_neighbours)}
-SQL = {"op1_mix_sources": mixing.mixture_sql(), "op7_quality_rules": lines.clean_sql(), "op12_hard_negatives": negatives.hard_negatives_sql(), "op13_nearest_neighbours": neighbours.nearest_sql()}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_language_id, op3_license_scan, op4_lm_score, op5_embedding_dedup, op6_pack, op7_quality_rules, op8_quality_classifier, op9_chat_format, op10_simhash_dedup, op11_source_divergence, op12_hard_negatives, op13_nearest_neighbours)}
+SQL = {"op1_mix_sources": mixing.mixture_sql(), "op7_quality_rules": lines.clean_sql(), "op11_source_divergence": divergence.divergence_sql(), "op12_hard_negatives": negatives.hard_negatives_sql(), "op13_nearest_neighbours": neighbours.nearest_sql()}
