@@ -9,8 +9,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from ..session import cut
+from ..session import cut, shared_path
 
 #: Sources up to which the plan of passes is broadcast; beyond, it is joined.
 FEW = 100_000
@@ -105,8 +106,15 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     Running sums are taken in parts of a permutation and carried over part by part, so that a source
     with most rows is many tasks. A null text has no tokens, a null source is the source ``''``, null
     keys and repeated rows are drawn each; other columns are not read; an empty table gives an empty one.
+    The rows of a source without any token are dealt over the blocks by hash.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), tokens(F.col(text)).alias("tokens"))
+    drawn = _draws(docs, key, text, source, mix, F.lit(0))
+    return drawn.select(F.col("key").alias(key), "source", F.col("pass").cast("int").alias("pass"), "tokens", "block", "position")
+
+
+def _draws(docs: DataFrame, key: str, text: str, source: str, mix: Mix, row: Column) -> DataFrame:
+    """``row, key, source, pass, tokens, block, position`` of every draw; ``row`` tells equal rows apart."""
+    rows = docs.select(row.alias("row"), F.col(key).alias("key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), tokens(F.col(text)).alias("tokens"))
     rows = cut(rows)  # numbers only; texts are read once
     plan = cut(weights(rows, mix).select("source", "total", "budget", "full", "rest", "blocks"))
     plan = F.broadcast(plan) if plan.count() <= FEW else plan
@@ -118,26 +126,36 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     sums = drawn.groupBy("source", "pass", "part").agg(F.sum("tokens").alias("in_part"))
     earlier = Window.partitionBy("source", "pass").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "pass", "part", F.coalesce(F.sum("in_part").over(earlier), F.lit(0)).alias("before_part"))
-    inside = Window.partitionBy("source", "pass", "part").orderBy("order", "key", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "pass", "part").orderBy("order", "key", "tokens", "row").rowsBetween(Window.unboundedPreceding, -1)
     drawn = drawn.withColumn("before", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(sums, ["source", "pass", "part"])
     drawn = drawn.withColumn("before", F.col("before") + F.col("before_part"))
     drawn = drawn.filter((F.col("pass") < F.col("full")) | (F.col("before") + F.col("tokens") <= F.col("rest")))
     at = (F.col("pass") * F.col("total") + F.col("before")) / F.greatest(F.col("budget"), F.lit(1)) * F.col("blocks")
-    drawn = drawn.withColumn("block", F.least(F.floor(at), F.col("blocks") - 1).cast("long"))
+    dealt = F.conv(F.substring("order", 1, 8), 16, 10).cast("long") % F.col("blocks")
+    drawn = drawn.withColumn("block", F.when(F.col("total") > 0, F.least(F.floor(at), F.col("blocks") - 1).cast("long")).otherwise(dealt))
     shuffled = F.md5(F.concat_ws(":", F.col("order"), F.col("source")).cast("binary"))
-    position = F.row_number().over(Window.partitionBy("block").orderBy(shuffled, "key", "tokens"))
-    return drawn.select(F.col("key").alias(key), "source", F.col("pass").cast("int").alias("pass"), "tokens", "block", (position - 1).cast("long").alias("position"))
+    position = F.row_number().over(Window.partitionBy("block").orderBy(shuffled, "key", "tokens", "row"))
+    return drawn.select("row", "key", "source", "pass", "tokens", "block", (position - 1).cast("long").alias("position"))
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", mix: Mix = Mix()) -> DataFrame:
-    """The rows of ``docs``, each as often as the mixture draws its key, all columns kept.
+    """The rows of ``docs``, each as often as the mixture draws it, in the order of blocks and positions; all columns kept.
 
-    Rows with one key are told apart by nothing, so keys should be unique; a null key is drawn once.
+    A row is known by its file and place there, so repeated rows and null keys are drawn each by
+    itself; rows that come from no Parquet file are written to one first. Partitions follow
+    the order of blocks and are sorted, so a table written from this holds the block permutations.
     """
-    draws = mixture(docs, key, text, source, mix).groupBy(key).agg(F.count(F.lit(1)).alias("_draws"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    often = F.coalesce("_draws", F.lit(1)).cast("int")
-    return docs.join(draws, key, "left").select(*names, F.explode(F.array_repeat(F.lit(0), often)).alias("_")).drop("_")
+    try:
+        found = docs.select(F.struct("*").alias("doc"), F.struct("_metadata.file_name", "_metadata.row_index").alias("row"))
+    except AnalysisException:
+        path = shared_path(docs.sparkSession, "to-mix")
+        docs.write.parquet(path)
+        docs = docs.sparkSession.read.parquet(path)
+        found = docs.select(F.struct("*").alias("doc"), F.struct("_metadata.file_name", "_metadata.row_index").alias("row"))
+    drawn = _draws(docs, key, text, source, mix, F.struct("_metadata.file_name", "_metadata.row_index"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
+    placed = found.join(cut(drawn.select("row", "block", "position")), "row")
+    return placed.repartitionByRange(parts, "block", "position").sortWithinPartitions("block", "position").select("doc.*")
 
 
 def mixture_sql(mix: Mix = Mix()) -> str:
@@ -169,6 +187,6 @@ plan3 AS (SELECT *, CASE WHEN total > 0 THEN budget - n_full * total ELSE 0 END
 drawn AS (SELECT r.*, p.total, p.budget, p.blocks, p.n_full, p.rest, unnest(range(0, n_full + (rest > 0)::BIGINT)) AS pass FROM r JOIN plan3 p USING (source)),
 keyed AS (SELECT *, md5(doc_id::VARCHAR || ':' || pass::VARCHAR || ':{mix.seed}') AS ord FROM drawn),
 summed AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source, pass ORDER BY ord, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM keyed),
-kept AS (SELECT *, least(floor((pass * total + before)::DOUBLE / greatest(budget, 1) * blocks)::BIGINT, blocks - 1) AS block FROM summed WHERE pass < n_full OR before + tokens <= rest)
+kept AS (SELECT *, CASE WHEN total > 0 THEN least(floor((pass * total + before)::DOUBLE / greatest(budget, 1) * blocks)::BIGINT, blocks - 1) ELSE ('0x' || ord[1:8])::BIGINT % blocks END AS block FROM summed WHERE pass < n_full OR before + tokens <= rest)
 SELECT doc_id, source, pass::INTEGER AS pass, tokens, block, row_number() OVER (PARTITION BY block ORDER BY md5(ord || ':' || source), doc_id, tokens) - 1 AS position FROM kept
 """

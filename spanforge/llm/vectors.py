@@ -171,14 +171,18 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vec: str = "embedding", lab
     and not paired. A bucket of more than ``block`` vectors is dealt out as pairs of blocks. Each
     pair is verified in double precision and counted in the first bucket where it meets. Rows
     with one key twice count as two vectors; a null key gives its group's smallest key, or null.
+    Labels may have any type; only equal ones meet. ``n_links`` needs every pair of a dense label
+    looked at, so a bucket's vectors are copied once per block of it.
     """
     v = F.col("_v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.coalesce(F.col("_label").isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
-    rows = df.select(F.col(key).alias("_key"), F.col(label).cast("long").alias("_label"), F.col(vec).alias("_v"))
+    rows = df.select(F.col(key).alias("_key"), F.col(label).alias("_label"), F.col(vec).alias("_v"))
     rows = rows.withColumn("_label", F.when(usable, F.col("_label"))).withColumn("_v", F.when(F.col("_label").isNotNull(), v))
     one = rows.filter("_label is not null").groupBy("_label", "_v").agg(F.min("_key").alias("least"), F.count(F.lit(1)).alias("n"))
-    one = cut(one.select(F.col("_label").alias("label"), F.col("_v").alias("vec"), F.size("_v").cast("long").alias("d"), "least", "n", F.monotonically_increasing_id().alias("u")))
+    # labels of any type, by number
+    number = cut(one.select("_label").distinct().select("_label", F.monotonically_increasing_id().alias("label")))
+    one = cut(one.join(number, "_label").select("label", F.col("_v").alias("vec"), F.size("_v").cast("long").alias("d"), "least", "n", F.monotonically_increasing_id().alias("u")))
     codes = cut(one.select("u", "vec").mapInArrow(lambda it: _coded(it, how), "u long, codes array<long>"))
     keyed = one.join(codes, "u").select("*", F.posexplode("codes").alias("pos", "bucket")).filter("bucket >= 0")
     keyed = keyed.withColumn("t", F.floor(F.col("pos") / how.probes)).withColumn("own", F.col("pos") % how.probes == 0)
@@ -195,6 +199,6 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vec: str = "embedding", lab
     named = one.join(met.groupBy("u").agg(F.sum("links").alias("links")), "u", "left").join(roots, "u", "left")
     named = cut(named.select("label", "vec", "least", "n", "links", F.coalesce("root", "u").alias("root")))
     component = cut(named.groupBy("root").agg(F.min("least").alias("component_id")))  # written, so that a large group's rows can be split
-    known = named.join(component, "root").select(F.col("label").alias("_label"), F.col("vec").alias("_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
+    known = named.join(component, "root").join(number, "label").select("_label", F.col("vec").alias("_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     out = rows.join(cut(known), ["_label", "_v"], "left").withColumn("component_id", F.coalesce("component_id", "_key"))
     return out.select(F.col("_key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id", F.col("_key").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -58,7 +58,9 @@ def by_hand(rows, plan, mix):
         for turn in range(p.full + (p.rest > 0)):
             before = 0
             for h, i, n in sorted((hashlib.md5(f"{i}:{turn}:{mix.seed}".encode()).hexdigest(), i, n) for i, n in own):
-                if turn < p.full or before + n <= p.rest:
+                if not p.total:
+                    out.add((i, turn, int(h[:8], 16) % p.blocks))
+                elif turn < p.full or before + n <= p.rest:
                     out.add((i, turn, min(math.floor((turn * p.total + before) / max(p.budget, 1) * p.blocks), p.blocks - 1)))
                 before += n
     return out
@@ -92,5 +94,30 @@ def test_edges(spark):
     df = spark.createDataFrame(rows, FIELDS)
     got = mixing.mixture(df, mix=mixing.Mix(entropy=0.0)).collect()
     assert sorted(r.doc_id or 0 for r in got) == [0, 1, 1, 2, 3] and all(r["pass"] == 0 for r in got)
+    again = mixing.mixed(df.withColumn("_", F.lit(5)).withColumn("row", F.lit("r")).withColumn("doc", F.lit(1.5)), mix=mixing.Mix(entropy=0.0))
+    assert again.columns == [*df.columns, "_", "row", "doc"] and sorted(r.doc_id or 0 for r in again.collect()) == [0, 1, 1, 2, 3]
     one = mixing.mixed(spark.createDataFrame([r for r in rows if r[0] != 1], FIELDS), mix=mixing.Mix(entropy=0.99))
     assert one.columns == df.columns and {r.doc_id for r in one.collect()} == {None, 2, 3}
+
+
+def test_copies_are_drawn_as_often_as_rows_of_their_own(spark, tmp_path):
+    """A third of all rows under one key: as many draws of each source as the mixture makes, and blocks in order."""
+    rows = [(7, "a b c", "hot", "x", 1)] * 60 + [(100 + i, "w " * (1 + i % 5), "hot", "x", 1) for i in range(90)] + [(500 + i, "v v", "small", "x", 1) for i in range(20)]
+    spark.createDataFrame(rows, FIELDS).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    mix = mixing.Mix(entropy=1.0, block=100)
+    draws = mixing.mixture(df, mix=mix)
+    want = {tuple(r) for r in draws.groupBy("doc_id", "source").count().collect()}
+    out = mixing.mixed(df, mix=mix)
+    assert {tuple(r) for r in out.groupBy("doc_id", "source").count().collect()} == want
+    assert out.count() == draws.count()
+    out.write.parquet(str(tmp_path / "m"))
+    order = [r.doc_id for r in draws.orderBy("block", "position").collect()]
+    files = sorted((tmp_path / "m").glob("*.parquet"))
+    assert [r.doc_id for f in files for r in spark.read.parquet(str(f)).coalesce(1).collect()] == order
+
+
+def test_rows_without_tokens_are_spread(spark):
+    df = spark.createDataFrame([(i, None, "silent", "x", 1) for i in range(400)] + [(1000 + i, "a b", "loud", "x", 1) for i in range(400)], FIELDS)
+    per = {r.block: r["count"] for r in mixing.mixture(df, mix=mixing.Mix(block=100)).filter("source = 'silent'").groupBy("block").count().collect()}
+    assert len(per) == 8 and max(per.values()) < 100 and sum(per.values()) == 400

@@ -67,3 +67,10 @@ def test_hadamard_is_a_rotation():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(vectors.hadamard(vectors.hadamard(x)), x)
     assert np.allclose((vectors.hadamard(x) ** 2).sum(1), (x**2).sum(1))
+
+
+@pytest.mark.parametrize("kind, labels", [("double", [1.2, 1.9, 1.2, float("nan"), float("nan")]), ("string", ["a", "b", "a", "", ""])])
+def test_labels_of_any_type(spark, kind, labels):
+    df = spark.createDataFrame([(i, [1.0, 2.0], x) for i, x in enumerate(labels)], f"vec_id long, embedding array<float>, label {kind}")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(df).collect())
+    assert got == [(0, 1, 0), (1, 0, 1), (2, 1, 0), (3, 1, 3), (4, 1, 3)]
