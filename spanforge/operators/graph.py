@@ -130,7 +130,7 @@ def surviving(edges: DataFrame, ids: DataFrame) -> DataFrame:
 
 def cluster_and_propagate(nodes: DataFrame, edges: DataFrame, genome: str = "genome_id", min_ani: float = 95.0) -> DataFrame:
     """Cluster, propagate, drop unsupported members and number the survivors again."""
-    nodes, edges = cut(nodes), cut(edges)
+    nodes, edges = cut(nodes), cut(edges.drop(genome))
     first = cut(propagate_class(cluster(nodes, edges, genome, min_ani), genome))
     kept = cut(drop_unsupported(first, genome).drop("cluster_id", "cluster_size", "max_ani"))
     return cluster(kept, surviving(edges, kept.select("id")), genome, min_ani)

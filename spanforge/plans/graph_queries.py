@@ -9,38 +9,34 @@ from .registry import query
 from .sequence_queries import CONTIGS, contigs
 from .tables import load, track
 
-K, SCALE = 16, 32
-#: Hashes are hex digits here; those below this one are the lowest 1 / SCALE.
-LIMIT = f"{(1 << 64) // SCALE:016x}"
-
-
-def md5_hash(c):
-    return F.substring(F.md5(c), 1, 16)
-
+K = 16
 
+#: All k-mers of all records, without any threshold.
 SKETCH = f"""{CONTIGS}, tl AS (SELECT doc_id, substr(seq, t + 1, 200 + {K} - 1) AS s FROM (SELECT doc_id, seq, unnest(range(0, length(seq) - {K} + 1, 200)) AS t
     FROM contigs WHERE length(seq) >= {K})),
   mer AS (SELECT doc_id, substr(s, i, {K}) AS m FROM (SELECT doc_id, s, unnest(range(1, length(s) - {K} + 2)) AS i FROM tl)),
-  hs AS (SELECT DISTINCT doc_id, substr(md5(least(m, reverse(translate(m, 'ACGT', 'TGCA')))), 1, 16) AS h FROM mer WHERE NOT contains(m, 'N')),
-  sk AS (SELECT doc_id, h FROM hs WHERE h < '{LIMIT}'),
-  per AS (SELECT doc_id, count(*) AS n, min(doc_id) OVER (PARTITION BY string_agg(h, ',' ORDER BY h)) AS rep FROM sk GROUP BY doc_id),
-  lead AS (SELECT sk.doc_id, h, n FROM sk JOIN per USING (doc_id) WHERE rep = sk.doc_id),
-  c AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c FROM lead x JOIN lead y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY ALL),
-  ed AS (SELECT a, b, 100 * pow(c / least(na, nb), 1e0 / {K}) AS ani, 100e0 * c / na AS af_a, 100e0 * c / nb AS af_b FROM c
+  sk AS (SELECT DISTINCT doc_id % 2 AS genome_id, doc_id, least(m, reverse(translate(m, 'ACGT', 'TGCA'))) AS h FROM mer WHERE NOT contains(m, 'N')),
+  per AS (SELECT genome_id, doc_id, count(*) AS n, min(doc_id) OVER (PARTITION BY genome_id, string_agg(h, ',' ORDER BY h)) AS rep FROM sk GROUP BY genome_id, doc_id),
+  lead AS (SELECT sk.genome_id, sk.doc_id, h, n FROM sk JOIN per USING (doc_id) WHERE rep = sk.doc_id),
+  c AS (SELECT x.genome_id, x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c FROM lead x JOIN lead y ON x.genome_id = y.genome_id AND x.h = y.h
+     AND x.doc_id < y.doc_id GROUP BY ALL),
+  ed AS (SELECT genome_id, a, b, 100 * pow(c / least(na, nb), 1e0 / {K}) AS ani, 100e0 * c / na AS af_a, 100e0 * c / nb AS af_b FROM c
      WHERE 100 * pow(c / least(na, nb), 1e0 / {K}) >= 80 AND greatest(c / na, c / nb) >= 0.5
-     UNION ALL SELECT rep, doc_id, 100, 100, 100 FROM per WHERE rep <> doc_id)"""
+     UNION ALL SELECT genome_id, rep, doc_id, 100, 100, 100 FROM per WHERE rep <> doc_id)"""
 
 
 def edges(spark, sf):
-    return sm.sketch_edges(contigs(spark, sf).select("doc_id", "seq"), "doc_id", K, SCALE, hash_of=md5_hash, keep=lambda h: h < F.lit(LIMIT))
+    """Similar documents of two genomes, by number."""
+    c = contigs(spark, sf).select((F.col("doc_id") % 2).alias("genome_id"), "doc_id", "seq")
+    return sm.similar_pairs(c, "doc_id", "genome_id", K)
 
 
-@query("similarity_edges", f"WITH {SKETCH} SELECT a, b, round(ani, 6) AS ani, round(af_a, 6) AS af_a, round(af_b, 6) AS af_b FROM ed")
+@query("similarity_edges", f"WITH {SKETCH} SELECT genome_id, a, b, round(ani, 6) AS ani, round(af_a, 6) AS af_a, round(af_b, 6) AS af_b FROM ed")
 def similarity_edges(spark, sf):
-    return edges(spark, sf).select("a", "b", *[F.round(c, 6).alias(c) for c in ("ani", "af_a", "af_b")])
+    return edges(spark, sf).select("genome_id", "a", "b", *[F.round(c, 6).alias(c) for c in ("ani", "af_a", "af_b")])
 
 
-NODES = """nodes AS (SELECT d.doc_id AS id, 0 AS genome_id, coalesce(l.quality = 1, false) AS from_capsid,
+NODES = """nodes AS (SELECT d.doc_id AS id, d.doc_id % 2 AS genome_id, coalesce(l.quality = 1, false) AS from_capsid,
    CASE WHEN l.quality = 1 THEN CASE WHEN lang IN ('en', 'fr') THEN 'PPV' ELSE 'NCLDV' END WHEN l.quality = 0 THEN 'VIRAL_UNKNOWN' ELSE 'UNKNOWN' END AS cls,
    CASE WHEN l.toxic = 0 THEN 1 ELSE 0 END AS hallmark_count FROM documents d LEFT JOIN labels l USING (doc_id))"""
 
@@ -49,7 +45,7 @@ def nodes(spark, sf):
     q = F.col("quality")
     named = F.when(F.col("lang").isin("en", "fr"), "PPV").otherwise("NCLDV")
     return load(spark, sf, "documents").join(load(spark, sf, "labels"), "doc_id", "left").select(
-        F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("genome_id"), F.coalesce(q == 1, F.lit(False)).alias("from_capsid"),
+        F.col("doc_id").alias("id"), (F.col("doc_id") % 2).alias("genome_id"), F.coalesce(q == 1, F.lit(False)).alias("from_capsid"),
         F.when(q == 1, named).when(q == 0, "VIRAL_UNKNOWN").otherwise("UNKNOWN").alias("taxonomy_class"),
         F.when(F.col("toxic") == 0, 1).otherwise(0).alias("hallmark_count"),
     )
@@ -70,14 +66,14 @@ def connected_components(spark, sf):
 @query(
     "cluster_numbers",
     f"""WITH RECURSIVE {COMP}, sz AS (SELECT root, count(*) AS n FROM comp GROUP BY root),
-    nm AS (SELECT root, n, row_number() OVER (ORDER BY n DESC, root) - 1 AS cid FROM sz WHERE n > 1),
+    nm AS (SELECT root, n, row_number() OVER (PARTITION BY root % 2 ORDER BY n DESC, root) - 1 AS cid FROM sz WHERE n > 1),
     mx AS (SELECT id, max(ani) AS ani FROM (SELECT a AS id, ani FROM ed WHERE ani >= 95 UNION ALL SELECT b, ani FROM ed WHERE ani >= 95) GROUP BY id)
-    SELECT c.id, coalesce(cid, -1) AS cluster_id, coalesce(n, 1) AS cluster_size, round(CASE WHEN cid IS NULL THEN 0 ELSE coalesce(ani, 0) END, 6) AS max_ani
+    SELECT c.id % 2 AS genome_id, c.id, coalesce(cid, -1) AS cluster_id, coalesce(n, 1) AS cluster_size, round(CASE WHEN cid IS NULL THEN 0 ELSE coalesce(ani, 0) END, 6) AS max_ani
     FROM comp c LEFT JOIN nm USING (root) LEFT JOIN mx USING (id)""",
 )
 def cluster_numbers(spark, sf):
     d = gr.cluster(nodes(spark, sf), edges(spark, sf))
-    return d.select("id", F.col("cluster_id").cast("bigint").alias("cluster_id"), "cluster_size", F.round("max_ani", 6).alias("max_ani"))
+    return d.select("genome_id", "id", F.col("cluster_id").cast("bigint").alias("cluster_id"), "cluster_size", F.round("max_ani", 6).alias("max_ani"))
 
 
 @query(
@@ -88,21 +84,21 @@ def cluster_numbers(spark, sf):
     ok AS (SELECT DISTINCT root FROM p WHERE sz > 1 AND hallmark_count > 0),
     kept AS (SELECT id, new_cls FROM p WHERE new_cls <> 'UNKNOWN' OR (sz > 1 AND root IN (SELECT root FROM ok))),
     ns AS (SELECT doc_id, count(*) AS n FROM sk GROUP BY doc_id),
-    every AS (SELECT x.doc_id AS a, y.doc_id AS b, 100 * pow(count(*) / least(any_value(p.n), any_value(q.n)), 1e0 / {K}) AS ani FROM sk x JOIN sk y ON x.h = y.h AND x.doc_id < y.doc_id
+    every AS (SELECT x.doc_id AS a, y.doc_id AS b, 100 * pow(count(*) / least(any_value(p.n), any_value(q.n)), 1e0 / {K}) AS ani FROM sk x JOIN sk y ON x.h = y.h AND x.genome_id = y.genome_id AND x.doc_id < y.doc_id
        JOIN ns p ON p.doc_id = x.doc_id JOIN ns q ON q.doc_id = y.doc_id GROUP BY ALL HAVING count(*) / least(any_value(p.n), any_value(q.n)) >= 0.5),
     lv AS (SELECT a, b, ani FROM every WHERE ani >= 95 AND a IN (SELECT id FROM kept) AND b IN (SELECT id FROM kept)),
     ly AS (SELECT a, b FROM lv UNION SELECT b, a FROM lv),
     again(a, b) AS (SELECT a, b FROM ly UNION SELECT r.a, s.b FROM again r JOIN ly s ON r.b = s.a),
     rt AS (SELECT k.id, least(k.id, coalesce(min(r.b), k.id)) AS root FROM kept k LEFT JOIN again r ON r.a = k.id GROUP BY k.id),
-    sz2 AS (SELECT root, count(*) AS n FROM rt GROUP BY root), nm2 AS (SELECT root, n, row_number() OVER (ORDER BY n DESC, root) - 1 AS cid FROM sz2 WHERE n > 1),
+    sz2 AS (SELECT root, count(*) AS n FROM rt GROUP BY root), nm2 AS (SELECT root, n, row_number() OVER (PARTITION BY root % 2 ORDER BY n DESC, root) - 1 AS cid FROM sz2 WHERE n > 1),
     mx2 AS (SELECT id, max(ani) AS ani FROM (SELECT a AS id, ani FROM lv UNION ALL SELECT b, ani FROM lv) GROUP BY id)
-    SELECT k.id, new_cls AS taxonomy_class, coalesce(cid, -1) AS cluster_id, coalesce(n, 1) AS cluster_size, round(CASE WHEN cid IS NULL THEN 0 ELSE coalesce(ani, 0) END, 6) AS max_ani
+    SELECT k.id % 2 AS genome_id, k.id, new_cls AS taxonomy_class, coalesce(cid, -1) AS cluster_id, coalesce(n, 1) AS cluster_size, round(CASE WHEN cid IS NULL THEN 0 ELSE coalesce(ani, 0) END, 6) AS max_ani
     FROM kept k JOIN rt USING (id) LEFT JOIN nm2 USING (root) LEFT JOIN mx2 USING (id)""",
 )
 def class_propagation(spark, sf):
     """The check lists all pairs of records, copies too, and clusters the survivors anew."""
     d = gr.cluster_and_propagate(nodes(spark, sf), edges(spark, sf))
-    return d.select("id", "taxonomy_class", F.col("cluster_id").cast("bigint").alias("cluster_id"), "cluster_size", F.round("max_ani", 6).alias("max_ani"))
+    return d.select("genome_id", "id", "taxonomy_class", F.col("cluster_id").cast("bigint").alias("cluster_id"), "cluster_size", F.round("max_ani", 6).alias("max_ani"))
 
 
 @query(

@@ -34,39 +34,86 @@ def test_clusters_and_propagation(spark):
     assert out == {"E1": ("PPV", None, 0), "E2": ("PPV", "E1", 0), "E3": ("NCLDV", None, 1), "E4": ("MIRUS", None, 1), "E6": ("VIRAL_UNKNOWN", None, -1)}
 
 
-def test_sketch_edges_lose_no_pair(spark):
+def kmers(seq, k):
+    flip = str.maketrans("ACGT", "TGCA")
+    mers = [seq[i : i + k] for i in range(len(seq) - k + 1)]
+    return {min(m, m.translate(flip)[::-1]) for m in mers if set(m) <= set("ACGT")}
+
+
+def plain_pairs(recs, k, min_ani=80.0, min_af=0.5):
+    """All pairs of one genome by all k-mers; copies hang on the smallest of them."""
+    sets = {(g, i): kmers(s.upper(), k) for g, i, s in recs}
+    first = {}
+    for (g, i), m in sorted(sets.items()):
+        first.setdefault((g, frozenset(m)), i)
+    out = {}
+    for (g, x), m in sets.items():
+        if m and first[g, frozenset(m)] != x:
+            out[g, first[g, frozenset(m)], x] = (100.0, 100.0, 100.0)
+        for (h, y), n in sets.items():
+            if g == h and x < y and m and n and first[g, frozenset(m)] == x and first[g, frozenset(n)] == y:
+                c = len(m & n)
+                ani = 100 * (c / min(len(m), len(n))) ** (1 / k)
+                if ani >= min_ani and max(c / len(m), c / len(n)) >= min_af:
+                    out[g, x, y] = (ani, 100 * c / len(m), 100 * c / len(n))
+    return out
+
+
+def same_pairs(spark, recs, k, **more):
+    d = spark.createDataFrame(recs, "g bigint, id bigint, seq string")
+    got = {(r.genome_id, r.a, r.b): (r.ani, r.af_a, r.af_b) for r in sm.similar_pairs(d, "id", "g", k, **more).collect()}
+    want = plain_pairs(recs, k)
+    assert set(got) == set(want)
+    assert all(abs(u - v) < 1e-9 for p in got for u, v in zip(got[p], want[p], strict=True))
+    return got
+
+
+def edited(rng, s, n):
+    s = list(s)
+    for _ in range(n):
+        s[rng.randrange(len(s))] = rng.choice("ACGT")
+    return "".join(s)
+
+
+def test_similar_pairs_lose_none(spark):
     rng = random.Random(9)
-    base = ["".join(rng.choices("ACGT", k=400)) for _ in range(6)]
     common = "".join(rng.choices("ACGT", k=60))
     recs = []
-    for i, b in enumerate(base):
-        for j in range(4):
-            s = list(b)
-            for _ in range(j * 2):
-                s[rng.randrange(len(s))] = rng.choice("ACGT")
-            recs.append((i * 10 + j, common + "".join(s)))
-    recs += [(90, recs[0][1]), (91, recs[0][1])]
-    d = spark.createDataFrame(recs, "id bigint, seq string")
-    sk = {}
-    for r in sm.sketches(d, "id", 12, 4).collect():
-        sk.setdefault(r.id, set()).add(r.h)
-    want = set()
-    ids = [i for i, _ in recs if i not in (90, 91)]
-    for x in ids:
-        for y in ids:
-            if x < y:
-                c, n = len(sk[x] & sk[y]), min(len(sk[x]), len(sk[y]))
-                if c / n >= 0.5 and 100 * (c / n) ** (1 / 12) >= 80:
-                    want.add((x, y))
-    got = {(r.a, r.b) for r in sm.sketch_edges(d, "id", 12, 4).collect()}
-    assert got == want | {(0, 90), (0, 91)}
-
-
-def test_a_record_inside_a_long_one_is_found(spark):
+    for i in range(6):
+        base = "".join(rng.choices("ACGT", k=400))
+        recs += [(i % 2, i * 10 + j, common + edited(rng, base, 2 * j)) for j in range(4)]
+    recs += [(0, 90, recs[0][2]), (0, 91, recs[0][2].lower()), (1, 92, recs[0][2]), (0, 93, ""), (0, 94, "ACGTN" * 30), (1, 95, "NNNNNNNNNNNNNNNN"), (0, 96, None)]
+    same_pairs(spark, [r for r in recs if r[2] is not None], 12)
+    d = spark.createDataFrame(recs, "g bigint, id bigint, seq string")
+    assert sm.similar_pairs(d, "id", "g", 12).filter("a = 96 or b = 96").isEmpty()
+    assert sm.similar_pairs(d.limit(0), "id", "g", 12).isEmpty()
+
+
+def test_short_copies_keep_their_edges(spark):
+    rng = random.Random(3)
+    recs = []
+    for i in range(40):
+        s = "".join(rng.choices("ACGT", k=60))
+        recs += [(0, 2 * i, s), (0, 2 * i + 1, s)]
+    got = same_pairs(spark, recs, 16)
+    assert len(got) == 40
+
+
+def test_records_around_the_limit_of_all_kmers(spark):
+    """Pairs with a short record are exact, however long the other is; a long one of few k-mers counts as short."""
+    rng = random.Random(5)
+    long = "".join(rng.choices("ACGT", k=2600))
+    unit = "".join(rng.choices("ACGT", k=90))
+    recs = [(0, 1, long[500:900]), (0, 2, long), (0, 3, edited(rng, long[1000:1300], 3)), (0, 4, unit * 25), (0, 5, unit * 3), (0, 6, unit * 24 + long[:60])]
+    recs += [(0, 7, long.translate(str.maketrans("ACGT", "TGCA"))[::-1])]
+    same_pairs(spark, recs, 16, exact=500)
+
+
+def test_long_records_by_a_share_of_all_hashes(spark):
     rng = random.Random(4)
     inner, a, b = ("".join(rng.choices("ACGT", k=n)) for n in (3000, 20000, 20000))
     d = spark.createDataFrame([(1, inner), (2, a + inner + b), (3, a[:5000])], "id bigint, seq string")
-    got = {(r.a, r.b): (r.af_a, r.af_b) for r in sm.sketch_edges(d, "id").collect()}
+    got = {(r.a, r.b): (r.af_a, r.af_b) for r in sm.similar_pairs(d, "id", exact=1000, scale=16).collect()}
     assert set(got) == {(1, 2), (2, 3)} and got[1, 2][0] > 99 and got[1, 2][1] < 15
 
 
