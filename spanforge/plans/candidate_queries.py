@@ -17,14 +17,18 @@ from .tables import GENES, HITS, KEYS, MARKERS, MODELS, RANKED, genes, hits, loa
 G = 16384
 PAD = 20000
 
-SEEDS = f"""seeds AS (SELECT genome_id, scaffold, gene_id AS region_id, greatest(0, "start" - {PAD}) AS r_start, "end" + {PAD} AS r_end
-  FROM genes WHERE priority = '1-URGENT')"""
+SEEDS = f"""seeds AS (SELECT genome_id, scaffold, gene_id AS region_id, greatest(0, "start" - {PAD}) AS r_start, "end" + {PAD} AS r_end,
+  CASE WHEN status = 'P' THEN 'CRESS' ELSE '' END AS family FROM genes)"""
 
 
 def seeds(spark, sf):
+    """A padded seed around every gene; those of one status are compact ones with exact bounds."""
     return (
-        genes(spark, sf).filter(F.col("priority") == "1-URGENT")
-        .select(*KEYS, F.col("gene_id").alias("region_id"), F.greatest(F.lit(0), F.col("start") - PAD).alias("r_start"), (F.col("end") + PAD).alias("r_end"))
+        genes(spark, sf)
+        .select(
+            *KEYS, F.col("gene_id").alias("region_id"), F.greatest(F.lit(0), F.col("start") - PAD).alias("r_start"), (F.col("end") + PAD).alias("r_end"),
+            F.when(F.col("status") == "P", "CRESS").otherwise("").alias("family"),
+        )
     )
 
 

@@ -132,7 +132,7 @@ def seed_construction(spark, sf):
 @query(
     "seed_gene_extension",
     f"""WITH {GENES}, {IDX}, sd AS (SELECT genome_id, scaffold, gene_id AS region_id, "start" AS r_start, "end" + 100 AS r_end,
-       CASE WHEN status = 'P' THEN 'CRESS' ELSE '' END AS family, gene_id % 3 = 0 AS rescue FROM genes WHERE priority = '1-URGENT'),
+       CASE WHEN status = 'P' THEN 'CRESS' ELSE '' END AS family, gene_id % 3 = 0 AS rescue FROM genes),
     t AS (SELECT s.region_id, min(i) AS lo, max(i) AS hi, any_value(s.genome_id) AS genome_id, any_value(s.scaffold) AS scaffold FROM sd s JOIN idx g
        ON g.genome_id = s.genome_id AND g.scaffold = s.scaffold AND g."start" < s.r_end AND g."end" > s.r_start WHERE family = '' GROUP BY s.region_id),
     l AS (SELECT genome_id, scaffold, max(i) AS last FROM idx GROUP BY ALL),
@@ -146,7 +146,7 @@ def seed_construction(spark, sf):
     SELECT scaffold, min(region_id) AS region_id, min(s) AS "start", max(e) AS "end", count(*) AS n_seeds FROM c GROUP BY genome_id, scaffold, run, isl""",
 )
 def seed_gene_extension(spark, sf):
-    s = genes(spark, sf).filter(F.col("priority") == "1-URGENT").select(
+    s = genes(spark, sf).select(
         *KEYS, F.col("gene_id").alias("region_id"), "start", (F.col("end") + 100).alias("end"),
         F.when(F.col("status") == "P", "CRESS").otherwise("").alias("family"), (F.col("gene_id") % 3 == 0).alias("rescue"),
         F.array(F.lit("hhg")).alias("sources"), F.lit("medium").alias("confidence"),
@@ -174,9 +174,9 @@ def scored_genes(spark, sf):
     a AS (SELECT region_id, count(*) FILTER (good) AS ng, min(w_start) FILTER (good AND mark) AS ms, max(w_end) FILTER (good AND mark) AS me,
        min(w_start) FILTER (good AND mid) AS cs, max(w_end) FILTER (good AND mid) AS ce,
        first(w_start ORDER BY hf, vf DESC, w_start) FILTER (good) AS bs, first(w_end ORDER BY hf, vf DESC, w_start) FILTER (good) AS be FROM x GROUP BY region_id)
-    SELECT r.region_id, CASE WHEN ng > 0 THEN greatest(r_start, coalesce(ms, cs, bs) - 5000) ELSE r_start END AS "start",
-      CASE WHEN ng > 0 THEN least(r_end, coalesce(me, ce, be) + 5000) ELSE r_end END AS "end",
-      CASE WHEN ng IS NULL THEN 'no_windows' WHEN ng = 0 THEN 'no_good_windows' WHEN ms IS NOT NULL THEN 'marker_windows' WHEN cs IS NOT NULL THEN 'midpoint_windows'
+    SELECT r.region_id, CASE WHEN ng > 0 AND family = '' THEN greatest(r_start, coalesce(ms, cs, bs) - 5000) ELSE r_start END AS "start",
+      CASE WHEN ng > 0 AND family = '' THEN least(r_end, coalesce(me, ce, be) + 5000) ELSE r_end END AS "end",
+      CASE WHEN family = 'CRESS' THEN 'cress_exact_boundary' WHEN ng IS NULL THEN 'no_windows' WHEN ng = 0 THEN 'no_good_windows' WHEN ms IS NOT NULL THEN 'marker_windows' WHEN cs IS NOT NULL THEN 'midpoint_windows'
         ELSE 'best_window' END AS reason FROM seeds r LEFT JOIN a USING (region_id)""",
 )
 def host_window_trim(spark, sf):
@@ -217,8 +217,12 @@ def control_sampling(spark, sf):
 def query_roles(spark, sf):
     ix = indexed(spark, sf)
     rows = region_genes(seeds(spark, sf), ix, KEYS, "region_id", 2, G)
-    none = ix.select(*KEYS, "gene_id").limit(0)
-    return rf.query_roles(rows, none, KEYS).select("gene_id", "role", "distance")
+    near = region_genes(seeds(spark, sf), ix, KEYS, "region_id", 1, G)
+    return rf.query_roles(rows, rf.control_blocks(ix, near, KEYS, 300, 3), KEYS).select("gene_id", "role", "distance")
+
+
+#: Least model score of a host gene in the rule-based refinement.
+HOST_SCORE = 0.3
 
 
 def labelled_region_genes(spark, sf):
@@ -238,13 +242,13 @@ def labelled_region_genes(spark, sf):
         F.col("viral"), F.col("has_hit"), (F.col("host_score") >= 0.2) & host_any, F.lit(None).cast("double"),
         F.coalesce(F.col("top1_target").startswith("EUK__"), F.lit(False)), F.col("hn"), F.col("vn"),
     )
-    d = d.withColumn("label", label).withColumn("host", host_any)
+    d = d.withColumn("label", label).withColumn("host", host_any & (F.col("host_score") >= HOST_SCORE))
     return region_genes(seeds(spark, sf), d, KEYS, "region_id", 5, G)
 
 
 @query(
     "gene_labels",
-    f"""WITH {HOST}, {jaccard_sql('model', True)}, {SUMMARY}, {IDX},
+    f"""WITH {HOST}, {jaccard_sql('model', True)}, {SUMMARY}, {IDX}, {SEEDS},
     wr AS (SELECT gene_id, sum(CASE WHEN prefix = 'EUK__' THEN 10 - rank ELSE 0 END) AS h, sum(CASE WHEN prefix NOT IN ('EUK__', 'BAC__', 'ARC__', 'MITO__') AND pident >= 25 THEN 10 - rank ELSE 0 END) AS v,
        bool_or(prefix = 'EUK__') AS anyh FROM ranked GROUP BY gene_id),
     n AS (SELECT i.gene_id, i.i, s.n_hits, s.has_qualified, s.top1_prefix, sc.score, wr.anyh, coalesce(lag(wr.h) OVER w, 0) + coalesce(lead(wr.h) OVER w, 0) AS hn,
@@ -252,8 +256,10 @@ def labelled_region_genes(spark, sf):
        LEFT JOIN score sc ON sc.gene_id = i.gene_id WINDOW w AS (PARTITION BY i.genome_id, i.scaffold ORDER BY i.i))
     SELECT CASE WHEN has_qualified THEN 'V' WHEN n_hits IS NULL THEN CASE WHEN hn > 0 AND 2 * hn - 2 * vn > 0 THEN 'H' ELSE 'N' END
       WHEN (score >= 0.2 AND anyh) OR top1_prefix = 'EUK__' THEN 'H' ELSE 'A' END AS label, count(DISTINCT n.gene_id) AS genes FROM n
-      JOIN ({"SELECT DISTINCT g.gene_id FROM (SELECT r.genome_id, r.scaffold, min(i) AS lo, max(i) AS hi FROM rgs r JOIN idx g ON g.genome_id = r.genome_id AND g.scaffold = r.scaffold AND g.start < r.r_end AND g.end > r.r_start GROUP BY r.region_id, r.genome_id, r.scaffold) t JOIN idx g ON g.genome_id = t.genome_id AND g.scaffold = t.scaffold AND g.i BETWEEN lo - 5 AND hi + 5"}) k ON k.gene_id = n.gene_id
-    GROUP BY 1""".replace("rgs r", "(SELECT genome_id, scaffold, gene_id AS region_id, greatest(0, \"start\" - 20000) AS r_start, \"end\" + 20000 AS r_end FROM genes WHERE priority = '1-URGENT') r").replace("g.start", 'g."start"').replace("g.end", 'g."end"'),
+      JOIN (SELECT DISTINCT g.gene_id FROM (SELECT r.genome_id, r.scaffold, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id AND g.scaffold = r.scaffold
+        AND g."start" < r.r_end AND g."end" > r.r_start GROUP BY r.region_id, r.genome_id, r.scaffold) t JOIN idx g ON g.genome_id = t.genome_id AND g.scaffold = t.scaffold
+        AND g.i BETWEEN lo - 5 AND hi + 5) k ON k.gene_id = n.gene_id
+    GROUP BY 1""",
 )
 def gene_labels(spark, sf):
     return labelled_region_genes(spark, sf).groupBy("label").agg(F.countDistinct("gene_id").alias("genes"))
@@ -269,15 +275,15 @@ def host_edge_trim(spark, sf):
 def refinement_inputs(spark, sf):
     g = cut(labelled_region_genes(spark, sf).select("region_id", "role", F.col("gene_idx").alias("pos"), "distance", "start", "end", "viral", "host"))
     env = g.groupBy("region_id").agg(F.min("start").alias("flank_start"), F.max("end").alias("flank_end"))
-    s = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end")).join(env, "region_id")
+    s = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end"), "family").join(env, "region_id")
     return s, g
 
 
-REGION_GENES = f"""{GENES}, {HITS}, {RANKED}, {SUMMARY}, {IDX}, {SEEDS},
-    hv AS (SELECT gene_id, bool_or(prefix = 'EUK__') AS host FROM ranked GROUP BY gene_id),
-    tch AS (SELECT r.region_id, r.genome_id, r.scaffold, any_value(r_start) AS rs, any_value(r_end) AS re, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id
+REGION_GENES = f"""{HOST}, {jaccard_sql('model', True)}, {SUMMARY}, {IDX}, {SEEDS},
+    hv AS (SELECT ranked.gene_id, bool_or(prefix = 'EUK__') AND coalesce(any_value(sc.score), 0) >= {HOST_SCORE} AS host FROM ranked LEFT JOIN score sc ON sc.gene_id = ranked.gene_id GROUP BY ranked.gene_id),
+    tch AS (SELECT r.region_id, any_value(r.family) AS family, r.genome_id, r.scaffold, any_value(r_start) AS rs, any_value(r_end) AS re, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id
        AND g.scaffold = r.scaffold AND g."start" < r.r_end AND g."end" > r.r_start GROUP BY ALL),
-    rgn AS (SELECT t.region_id, rs, re, i AS pos, CASE WHEN i < lo THEN 'up' WHEN i > hi THEN 'down' ELSE 'in' END AS role, greatest(lo - i, i - hi, 0) AS dist, g."start" AS s, g."end" AS e,
+    rgn AS (SELECT t.region_id, t.family, rs, re, i AS pos, CASE WHEN i < lo THEN 'up' WHEN i > hi THEN 'down' ELSE 'in' END AS role, greatest(lo - i, i - hi, 0) AS dist, g."start" AS s, g."end" AS e,
        coalesce(has_qualified, false) AS viral, coalesce(host, false) AND NOT coalesce(has_qualified, false) AS hostly
        FROM tch t JOIN idx g ON g.genome_id = t.genome_id AND g.scaffold = t.scaffold AND i BETWEEN lo - 5 AND hi + 5 LEFT JOIN summary u ON u.gene_id = g.gene_id LEFT JOIN hv ON hv.gene_id = g.gene_id)"""
 
@@ -286,7 +292,7 @@ def refined_sql(name: str, use_host: bool) -> str:
     """Bounds after trimming host ends and following viral genes up to the next host gene; ``name`` prefixes the tables."""
     hostly = "hostly" if use_host else "false"
     return f"""
-    {name}a AS (SELECT region_id, any_value(rs) AS rs, any_value(re) AS re, min(s) AS fs, max(e) AS fe,
+    {name}a AS (SELECT region_id, any_value(rs) AS rs, any_value(re) AS re, min(s) AS fs, max(e) AS fe, any_value(family) AS family,
        min(pos) FILTER (role = 'in' AND e > rs AND s < re AND NOT {hostly}) AS lp, max(pos) FILTER (role = 'in' AND e > rs AND s < re AND NOT {hostly}) AS rp,
        min({{'d': dist, 'at': e}}) FILTER (role = 'up' AND {hostly}) AS ub, min({{'d': dist, 'at': s}}) FILTER (role = 'down' AND {hostly}) AS db FROM rgn GROUP BY region_id),
     {name}b AS (SELECT region_id, max(e) FILTER ({hostly} AND (lp IS NULL OR pos < lp)) AS lc, min(s) FILTER ({hostly} AND (rp IS NULL OR pos > rp)) AS rc
@@ -297,7 +303,7 @@ def refined_sql(name: str, use_host: bool) -> str:
        WHEN 'down' THEN d.db IS NULL OR dist < d.db.d ELSE e > ts AND s < te END GROUP BY d.region_id),
     {name}f AS (SELECT d.*, greatest(CASE WHEN va IS NULL THEN ts ELSE greatest(0, least(ts, va) - 5000) END, CASE WHEN ts > rs THEN ts ELSE fs END, coalesce(d.ub.at, fs), fs) AS s1,
        least(CASE WHEN va IS NULL THEN te ELSE greatest(te, vb) + 5000 END, CASE WHEN te < re THEN te ELSE fe END, coalesce(d.db.at, fe), fe) AS e1 FROM {name}d d LEFT JOIN {name}e USING (region_id)),
-    {name} AS (SELECT region_id, CASE WHEN e1 <= s1 THEN ts ELSE s1 END AS "start", CASE WHEN e1 <= s1 THEN te ELSE e1 END AS "end" FROM {name}f)"""
+    {name} AS (SELECT region_id, CASE WHEN family = 'CRESS' THEN rs WHEN e1 <= s1 THEN ts ELSE s1 END AS "start", CASE WHEN family = 'CRESS' THEN re WHEN e1 <= s1 THEN te ELSE e1 END AS "end" FROM {name}f)"""
 
 
 @query("taxonomy_refinement", f'WITH {REGION_GENES}, {refined_sql("fin", True)} SELECT region_id, "start", "end" FROM fin')
@@ -335,15 +341,14 @@ def adjacent_merge(spark, sf):
 
 @query(
     "marker_floor",
-    f"""WITH {VALID_CTES}, b AS (SELECT genome_id, scaffold, gene_id AS region_id, "start", "end", greatest(0, "start" - 30000) AS r_start, "end" + 30000 AS r_end, gene_id % 3 = 0 AS rescue
-       FROM genes WHERE priority = '1-URGENT'),
+    f"""WITH {VALID_CTES}, b AS (SELECT genome_id, scaffold, gene_id AS region_id, "start", "end", greatest(0, "start" - 30000) AS r_start, "end" + 30000 AS r_end, gene_id % 3 = 0 AS rescue FROM genes),
     m AS (SELECT *, ("start" + "end") // 2 AS mid, ordinal % 2 = 0 AS rescued FROM valid WHERE status IN ('validated', 'validated_novel')),
     a AS (SELECT b.region_id, any_value(b."start") AS s, any_value(b."end") AS e, any_value(b.rescue) AS rescue, count(DISTINCT m.gene_id) AS n, bool_or(rescued) AS r,
        min(m."start") AS lo, max(m."end") AS hi FROM b JOIN m ON m.genome_id = b.genome_id AND m.scaffold = b.scaffold AND mid BETWEEN r_start AND r_end GROUP BY b.region_id)
     SELECT region_id, least(s, lo) AS floor_start, greatest(e, hi) AS floor_end, n AS n_genes FROM a WHERE (n >= 2 OR (rescue AND r)) AND (lo < s OR hi > e)""",
 )
 def marker_floor(spark, sf):
-    b = genes(spark, sf).filter(F.col("priority") == "1-URGENT").select(
+    b = genes(spark, sf).select(
         *KEYS, F.col("gene_id").alias("region_id"), "start", "end", F.greatest(F.lit(0), F.col("start") - 30000).alias("r_start"),
         (F.col("end") + 30000).alias("r_end"), (F.col("gene_id") % 3 == 0).alias("rescue"),
     )
@@ -357,31 +362,68 @@ def marker_floor(spark, sf):
 # ------------------------------------------------------------------ learned refinement
 
 
+#: Control genes of a genome and genes of a control block in the learned refinement.
+CONTROLS, BLOCK = 100, 3
+
+
 def learning_rows(spark, sf):
+    """Genes around seeds (label 1 inside, -1 outside), and each genome's control genes (label 0) without neighbours."""
     from ..operators import learn
 
     score = host_scores(spark, sf, "host_score")
     g = gene_taxonomy(spark, sf).join(score, ["genome_id", "gene_id"], "left")
-    d = learn.gene_features(g).join(indexed(spark, sf).select("gene_id", "gene_idx"), "gene_id")
-    base = region_genes(seeds(spark, sf), d, KEYS, "region_id", 5, G)
+    ix = cut(indexed(spark, sf))
+    d = learn.gene_features(g).join(ix.select("gene_id", "gene_idx"), "gene_id")
+    d = cut(d)
+    base = region_genes(seeds(spark, sf).drop("family"), d, KEYS, "region_id", 5, G)
     base = base.withColumn("label", F.when(F.col("role") == "interior", 1).otherwise(-1))
-    near = learn.neighbour_features(base, ["region_id"], "gene_idx")
-    far = d.join(base.select("gene_id").distinct(), "gene_id", "left_anti").withColumn("label", F.lit(0)).withColumn("region_id", F.lit(-1).cast("bigint"))
+    near = learn.neighbour_features(base, ["region_id"], "gene_idx", 3)
+    controls = rf.control_blocks(ix, region_genes(seeds(spark, sf), ix, KEYS, "region_id", 1, G), KEYS, CONTROLS, BLOCK)
+    far = d.join(controls, [*KEYS, "gene_id"], "left_semi").withColumn("label", F.lit(0)).withColumn("region_id", F.lit(-1).cast("bigint"))
     zero = [F.lit(0.0).alias(c) for c in ("neighbor_viral_fraction_mean", "neighbor_host_score_mean", "neighbor_host_top1_fraction")]
-    cols = ["region_id", "gene_id", "start", "end", "label", *learn.FEATURES]
+    cols = ["genome_id", "region_id", "gene_id", "start", "end", "label", *learn.FEATURES]
     own = [c for c in cols if not c.startswith("neighbor_")]
     return cut(near.select(*cols).unionByName(far.select(*own, *zero)))
 
 
-@query("learned_refinement")
-def learned_refinement(spark, sf):
+def learned_bounds(spark, sf, score):
+    """Bounds of all seeds from genes scored by ``score``."""
     from ..operators import learn
 
     rows = learning_rows(spark, sf)
-    scored = learn.fit_and_score(rows).filter("region_id >= 0")
+    scored = score(rows).filter("region_id >= 0")
     env = rows.filter("region_id >= 0").groupBy("region_id").agg(F.min("start").alias("flank_start"), F.max("end").alias("flank_end"))
-    s = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end")).join(env, "region_id")
-    return learn.new_bounds(s, scored, ["region_id"])
+    s = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end"), "family").join(env, "region_id", "left")
+    return learn.new_bounds(s, scored, ["region_id"], host_threshold=HOST_SCORE)
+
+
+@query("learned_refinement")
+def learned_refinement(spark, sf):
+    """A model per genome; SQL can't fit one, tests compare it with a plain fit."""
+    from ..operators import learn
+
+    return learned_bounds(spark, sf, learn.fit_and_score)
+
+
+@query(
+    "heuristic_refinement",
+    f"""WITH {REGION_GENES},
+    wg AS (SELECT gene_id, sum(CASE WHEN prefix = 'EUK__' THEN 10 - rank ELSE 0 END) AS h, sum(CASE WHEN prefix NOT IN ('EUK__', 'BAC__', 'ARC__', 'MITO__') AND pident >= 25 THEN 10 - rank ELSE 0 END) AS v
+       FROM ranked GROUP BY gene_id),
+    pr AS (SELECT i.gene_id, i.genome_id, i.scaffold, i.i, i."start" AS s, i."end" AS e, coalesce(v, 0) AS vr, coalesce(sc.score, 0) AS hs, coalesce(has_viral, false) AS hv,
+       coalesce(v, 0) + coalesce(has_viral, false)::INT AS vs, coalesce(h, 0) + coalesce(sc.score, 0) AS ht, coalesce(top1_prefix = 'EUK__', false) AS th
+       FROM idx i LEFT JOIN wg USING (gene_id) LEFT JOIN summary u USING (gene_id) LEFT JOIN score sc ON sc.gene_id = i.gene_id),
+    ok AS (SELECT *, CASE WHEN vs + ht > 0 THEN vs / (vs + ht) ELSE hv::INT END * CASE WHEN th AND NOT hv THEN 0.5e0 ELSE 1 END AS p FROM pr),
+    n AS (SELECT t.region_id, min(s) AS fs, max(e) AS fe, min(s) FILTER (p >= 0.5 AND (hs < {HOST_SCORE} OR hv OR vr >= 8)) AS a, max(e) FILTER (p >= 0.5 AND (hs < {HOST_SCORE} OR hv OR vr >= 8)) AS b
+       FROM tch t JOIN ok ON ok.genome_id = t.genome_id AND ok.scaffold = t.scaffold AND ok.i BETWEEN lo - 5 AND hi + 5 GROUP BY t.region_id)
+    SELECT r.region_id, CASE WHEN family <> 'CRESS' AND a IS NOT NULL AND greatest(fs, a) < least(fe, b) THEN greatest(fs, a) ELSE r_start END AS "start",
+      CASE WHEN family <> 'CRESS' AND a IS NOT NULL AND greatest(fs, a) < least(fe, b) THEN least(fe, b) ELSE r_end END AS "end" FROM seeds r LEFT JOIN n USING (region_id)""",
+)
+def heuristic_refinement(spark, sf):
+    """The same bounds where no genome can be learned from."""
+    from ..operators import learn
+
+    return learned_bounds(spark, sf, learn.heuristic_probability)
 
 
 @query(
