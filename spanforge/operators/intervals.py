@@ -132,14 +132,39 @@ def near_join(
     return both.withColumn("distance", F.least(F.abs(ls - rs), F.abs(le - re_))).drop(BIN, SALT)
 
 
-def slice_join(regions: DataFrame, contigs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cut each region out of its contig; adds ``region_seq``."""
-    cut_seq = F.substring(
-        F.col("seq"),
-        (F.col("start") + 1).cast("int"),
-        F.greatest(F.lit(0), F.col("end") - F.col("start")).cast("int"),
-    )
-    return regions.join(contigs, list(keys), "inner").withColumn("region_seq", cut_seq).drop("seq")
+def text_tiles(contigs: DataFrame, size: int = 1 << 14) -> DataFrame:
+    """Contigs as rows of at most ``size`` characters: all columns but ``seq``, with ``tile_idx`` and ``tile_seq``."""
+    keep = [c for c in contigs.columns if c != "seq"]
+    return contigs.select(*keep, F.posexplode(overlapping_tiles(F.col("seq"), size)).alias("tile_idx", "tile_seq")).withColumn("tile_idx", F.col("tile_idx").cast("bigint"))
+
+
+def read_ranges(ranges: DataFrame, tiles: DataFrame, keys: Sequence[str], size: int = 1 << 14) -> DataFrame:
+    """``_range, place, piece``: the parts of each range's text, one per tile it touches.
+
+    ``ranges``: keys, _range (unique), start, end. A range meets only the tiles it lies on, and a part is
+    no longer than a tile, so no row grows with a contig or a range.
+    """
+    first, last = F.floor(F.greatest(F.col("start"), F.lit(0)) / size), F.floor((F.col("end") - 1) / size)
+    wanted = ranges.filter((F.col("end") > F.col("start")) & (F.col("end") > 0)).select(*keys, "_range", "start", "end", F.explode(F.sequence(first, last)).alias("tile_idx"))
+    s, e = F.greatest(F.col("start") - F.col("tile_idx") * size, F.lit(0)), F.least(F.col("end") - F.col("tile_idx") * size, F.lit(size))
+    piece = F.substring(F.col("tile_seq"), (s + 1).cast("int"), (e - s).cast("int"))
+    return wanted.join(tiles.select(*keys, "tile_idx", "tile_seq"), [*keys, "tile_idx"]).select("_range", F.col("tile_idx").alias("place"), piece.alias("piece"))
+
+
+def slice_join(regions: DataFrame, contigs: DataFrame, keys: Sequence[str], size: int = 1 << 14) -> DataFrame:
+    """Cut each region out of its contig; adds the contig's other columns and ``region_seq``.
+
+    The contig is cut into tiles where it stands, and a region gathers the parts of its own length;
+    the whole text is never copied to a region. Regions without a contig are dropped; one on a null text is null.
+    """
+    keys = list(keys)
+    numbered = cut(regions.withColumn("_range", F.monotonically_increasing_id()))
+    parts = read_ranges(numbered.select(*keys, "_range", "start", "end"), text_tiles(contigs.select(*keys, "seq"), size), keys, size)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "piece"))), lambda x: x["piece"]), "")
+    whole = parts.groupBy("_range").agg(text.alias("region_seq"))
+    rest = contigs.withColumn("_none", F.col("seq").isNull()).drop("seq")
+    d = numbered.join(rest, keys).join(whole, "_range", "left").drop("_range")
+    return d.withColumn("region_seq", F.when(~F.col("_none"), F.coalesce("region_seq", F.lit("")))).drop("_none")
 
 
 # ---------------------------------------------------------------- gaps, islands

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +62,13 @@ def family_consistency(region: Column, taxonomy: Column, taxonomy_fraction: Colu
     return F.when(top >= 3, 0.08).when(top == 2, 0.04).otherwise(F.lit(0.0))
 
 
-def score(df: DataFrame, use_boundary: bool = False, composition: bool = True, host_threshold: float = 0.3) -> DataFrame:
+def score(df: DataFrame, use_boundary: bool = False, composition: bool = True, host_threshold: float = 0.3, stage: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
     """Add the component scores and ``final_confidence``.
 
     ``composition=False`` is the counterfactual without the composition evidence.
-    Everything is one projection chain; nothing is shuffled.
+    Everything is one projection chain; nothing is shuffled. Where the rows come out of a large
+    plan, ``stage`` (such as ``cut``) parts the chain after the components and after the sums,
+    so that no generated method gets too large to compile.
     """
     d = with_inputs(df)
     n = F.col("gene_count")
@@ -85,7 +89,7 @@ def score(df: DataFrame, use_boundary: bool = False, composition: bool = True, h
     )
     most = F.greatest("ncldv_markers", "vp_plv_markers", "mirus_markers")
     strong = (F.col("vp_plv_markers") >= 4) | (F.col("ncldv_markers") >= 3) | (F.col("mirus_markers") >= 3)
-    d = d.withColumn("seed_score", F.when(strong, 1.0).when(most >= 2, 0.5).otherwise(F.lit(0.0)))
+    d = stage(d.withColumn("seed_score", F.when(strong, 1.0).when(most >= 2, 0.5).otherwise(F.lit(0.0))))
     comp, mark, gene, seed = (F.col(c) for c in ("composition_score", "marker_score", "gene_score", "seed_score"))
     crf, inter, mcp = F.col("boundary_confidence"), F.col("interpro_score"), F.col("has_mcp")
 
@@ -143,10 +147,10 @@ def score(df: DataFrame, use_boundary: bool = False, composition: bool = True, h
             top = top & (crf >= 0.9)
         cap = F.when(top, 1.0).otherwise(cap)
 
-    d = d.withColumn("penalty", penalty).withColumn("weighted_base", base).withColumn("bonus_total", extra)
-    raw = F.greatest(F.least(F.col("weighted_base") + F.col("bonus_total") + 0.15 * F.col("structure") - F.col("penalty"), cap), floor)
+    d = stage(d.withColumn("penalty", penalty).withColumn("weighted_base", base).withColumn("bonus_total", extra).withColumn("_floor", floor).withColumn("_cap", cap))
+    raw = F.greatest(F.least(F.col("weighted_base") + F.col("bonus_total") + 0.15 * F.col("structure") - F.col("penalty"), F.col("_cap")), F.col("_floor"))
     evidence = F.when(F.col("viral_interior") > 0, F.col("viral_interior")).otherwise(F.col("viral_top10"))
-    d = d.withColumn("_raw", raw)
+    d = d.withColumn("_raw", raw).drop("_floor", "_cap")
     low = F.when((evidence == 0) & ~mcp, capped(F.col("_raw"), 0.05)).otherwise(F.col("_raw"))
     d = d.withColumn("_raw", low)
     low = F.when((n > 0) & ~mcp & (F.col("viral_fraction") < 0.05), capped(F.col("_raw"), 0.19)).otherwise(F.col("_raw"))

@@ -12,7 +12,7 @@ from ..operators import votes as vt
 from ..session import cut
 from .hit_queries import CAPSID, CLASSES, SUMMARY, VALID_CTES, placed_markers, summary, validated
 from .registry import query
-from .tables import GENES, HITS, KEYS, MARKERS, MODELS, RANKED, genes, hits, load
+from .tables import GENES, HITS, KEYS, MARKERS, MODELS, RANKED, genes, hits, load, markers
 
 G = 16384
 PAD = 20000
@@ -21,6 +21,15 @@ SEEDS = f"""seeds AS (SELECT genome_id, scaffold, gene_id AS region_id, greatest
   CASE WHEN status = 'P' THEN 'CRESS' ELSE '' END AS family FROM genes)"""
 
 
+#: Seeds around genes with a capsid hit only, which leave genes without a seed nearby.
+CAPSID_SEEDS = SEEDS.replace("FROM genes)", "FROM genes WHERE gene_id IN (SELECT gene_id FROM markers WHERE model = 'gamadvirusMCP'))")
+
+
+def capsid_seeds(spark, sf):
+    capsids = markers(spark, sf).filter(F.col("model") == "gamadvirusMCP").select(F.col("gene_id").alias("region_id"))
+    return seeds(spark, sf).join(capsids, "region_id", "left_semi")
+
+
 def seeds(spark, sf):
     """A padded seed around every gene; those of one status are compact ones with exact bounds."""
     return (

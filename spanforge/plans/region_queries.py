@@ -10,7 +10,7 @@ from ..operators import regions as rg
 from ..operators.neighbors import region_genes
 from ..operators.ordered import ordinal
 from ..session import cut
-from .candidate_queries import G, SEEDS, seeds
+from .candidate_queries import CAPSID_SEEDS, G, SEEDS, capsid_seeds, seeds
 from .fingerprint_queries import HOST, host_scores, jaccard_sql
 from .hit_queries import CAPSID, SUMMARY, VALID_CTES, placed_markers, summary, validated
 from .registry import query
@@ -186,9 +186,8 @@ def host_window_trim(spark, sf):
     return rf.host_window_trim(s, g, marks, KEYS, G).select("region_id", "start", "end", "reason")
 
 
-@query(
-    "control_sampling",
-    f"""WITH {GENES}, {IDX}, {SEEDS}, t AS (SELECT r.region_id, r.genome_id, r.scaffold, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id
+#: Control genes: whole blocks of three away from all seeds, in hash order, until there are 300 in a genome.
+CONTROL = f"""{GENES}, {MARKERS}, {IDX}, {CAPSID_SEEDS}, t AS (SELECT r.region_id, r.genome_id, r.scaffold, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id
        AND g.scaffold = r.scaffold AND g."start" < r.r_end AND g."end" > r.r_start GROUP BY ALL),
     nr AS (SELECT DISTINCT g.gene_id FROM t JOIN idx g ON g.genome_id = t.genome_id AND g.scaffold = t.scaffold AND g.i BETWEEN lo - 1 AND hi + 1),
     e AS (SELECT *, i - (row_number() OVER (PARTITION BY genome_id, scaffold ORDER BY i) - 1) AS stretch FROM idx WHERE gene_id NOT IN (SELECT gene_id FROM nr)),
@@ -196,29 +195,32 @@ def host_window_trim(spark, sf):
     ln AS (SELECT genome_id, scaffold, stretch FROM b GROUP BY ALL HAVING count(*) >= 3), el AS (SELECT b.* FROM b JOIN ln USING (genome_id, scaffold, stretch)),
     tot AS (SELECT genome_id, count(*) AS n FROM el GROUP BY genome_id),
     f AS (SELECT genome_id, scaffold, stretch, block, min(gene_id) AS head FROM el GROUP BY ALL HAVING count(*) = 3),
-    c AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY genome_id ORDER BY md5(head::VARCHAR)) <= 100)
-    SELECT gene_id FROM el JOIN tot USING (genome_id) WHERE n < 300
-    UNION ALL SELECT el.gene_id FROM el JOIN c USING (genome_id, scaffold, stretch, block) JOIN tot USING (genome_id) WHERE n >= 300""",
-)
+    c AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY genome_id ORDER BY md5(head::VARCHAR)) <= 100),
+    ctl AS (SELECT gene_id FROM el JOIN tot USING (genome_id) WHERE n < 300
+      UNION ALL SELECT el.gene_id FROM el JOIN c USING (genome_id, scaffold, stretch, block) JOIN tot USING (genome_id) WHERE n >= 300)"""
+
+
+@query("control_sampling", f"WITH {CONTROL} SELECT gene_id FROM ctl")
 def control_sampling(spark, sf):
-    ix = indexed(spark, sf)
-    near = region_genes(seeds(spark, sf), ix, KEYS, "region_id", 1, G)
-    return rf.control_blocks(ix, near, KEYS, 300, 3).select("gene_id")
+    return controls(spark, sf, indexed(spark, sf), 300).select("gene_id")
+
+
+def controls(spark, sf, ix, target):
+    near = region_genes(capsid_seeds(spark, sf), ix, KEYS, "region_id", 1, G)
+    return rf.control_blocks(ix, near, KEYS, target, 3)
 
 
 @query(
     "query_roles",
-    f"""WITH {GENES}, {IDX}, {SEEDS}, t AS (SELECT r.region_id, r.genome_id, r.scaffold, min(i) AS lo, max(i) AS hi FROM seeds r JOIN idx g ON g.genome_id = r.genome_id
-       AND g.scaffold = r.scaffold AND g."start" < r.r_end AND g."end" > r.r_start GROUP BY ALL),
-    rg AS (SELECT g.gene_id, CASE WHEN g.i BETWEEN lo AND hi THEN 0 ELSE 1 END AS r, greatest(lo - g.i, g.i - hi, 0) AS d FROM t JOIN idx g ON g.genome_id = t.genome_id
-       AND g.scaffold = t.scaffold AND g.i BETWEEN lo - 2 AND hi + 2)
-    SELECT gene_id, CASE WHEN min(r) = 0 THEN 'interior' ELSE 'boundary' END AS role, CASE WHEN min(r) = 0 THEN 0 ELSE min(d) END AS distance FROM rg GROUP BY gene_id""",
+    f"""WITH {CONTROL},
+    ro AS (SELECT g.gene_id, CASE WHEN g.i BETWEEN lo AND hi THEN 0 ELSE 1 END AS r, greatest(lo - g.i, g.i - hi, 0) AS d FROM t JOIN idx g ON g.genome_id = t.genome_id
+       AND g.scaffold = t.scaffold AND g.i BETWEEN lo - 2 AND hi + 2 UNION ALL SELECT gene_id, 2, 0 FROM ctl)
+    SELECT gene_id, CASE min(r) WHEN 0 THEN 'interior' WHEN 1 THEN 'boundary' ELSE 'control' END AS role, CASE min(r) WHEN 1 THEN min(d) FILTER (r = 1) ELSE 0 END AS distance FROM ro GROUP BY gene_id""",
 )
 def query_roles(spark, sf):
-    ix = indexed(spark, sf)
-    rows = region_genes(seeds(spark, sf), ix, KEYS, "region_id", 2, G)
-    near = region_genes(seeds(spark, sf), ix, KEYS, "region_id", 1, G)
-    return rf.query_roles(rows, rf.control_blocks(ix, near, KEYS, 300, 3), KEYS).select("gene_id", "role", "distance")
+    ix = cut(indexed(spark, sf))
+    rows = region_genes(capsid_seeds(spark, sf), ix, KEYS, "region_id", 2, G)
+    return rf.query_roles(rows, controls(spark, sf, ix, 300), KEYS).select("gene_id", "role", "distance")
 
 
 #: Least model score of a host gene in the rule-based refinement.
@@ -362,8 +364,8 @@ def marker_floor(spark, sf):
 # ------------------------------------------------------------------ learned refinement
 
 
-#: Control genes of a genome and genes of a control block in the learned refinement.
-CONTROLS, BLOCK = 100, 3
+#: Control genes of a genome in the learned refinement.
+CONTROLS = 100
 
 
 def learning_rows(spark, sf):
@@ -375,11 +377,10 @@ def learning_rows(spark, sf):
     ix = cut(indexed(spark, sf))
     d = learn.gene_features(g).join(ix.select("gene_id", "gene_idx"), "gene_id")
     d = cut(d)
-    base = region_genes(seeds(spark, sf).drop("family"), d, KEYS, "region_id", 5, G)
+    base = region_genes(capsid_seeds(spark, sf).drop("family"), d, KEYS, "region_id", 5, G)
     base = base.withColumn("label", F.when(F.col("role") == "interior", 1).otherwise(-1))
     near = learn.neighbour_features(base, ["region_id"], "gene_idx", 3)
-    controls = rf.control_blocks(ix, region_genes(seeds(spark, sf), ix, KEYS, "region_id", 1, G), KEYS, CONTROLS, BLOCK)
-    far = d.join(controls, [*KEYS, "gene_id"], "left_semi").withColumn("label", F.lit(0)).withColumn("region_id", F.lit(-1).cast("bigint"))
+    far = d.join(controls(spark, sf, ix, CONTROLS), [*KEYS, "gene_id"], "left_semi").withColumn("label", F.lit(0)).withColumn("region_id", F.lit(-1).cast("bigint"))
     zero = [F.lit(0.0).alias(c) for c in ("neighbor_viral_fraction_mean", "neighbor_host_score_mean", "neighbor_host_top1_fraction")]
     cols = ["genome_id", "region_id", "gene_id", "start", "end", "label", *learn.FEATURES]
     own = [c for c in cols if not c.startswith("neighbor_")]
@@ -393,7 +394,7 @@ def learned_bounds(spark, sf, score):
     rows = learning_rows(spark, sf)
     scored = score(rows).filter("region_id >= 0")
     env = rows.filter("region_id >= 0").groupBy("region_id").agg(F.min("start").alias("flank_start"), F.max("end").alias("flank_end"))
-    s = seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end"), "family").join(env, "region_id", "left")
+    s = capsid_seeds(spark, sf).select("region_id", F.col("r_start").alias("start"), F.col("r_end").alias("end"), "family").join(env, "region_id", "left")
     return learn.new_bounds(s, scored, ["region_id"], host_threshold=HOST_SCORE)
 
 
@@ -407,7 +408,7 @@ def learned_refinement(spark, sf):
 
 @query(
     "heuristic_refinement",
-    f"""WITH {REGION_GENES},
+    f"""WITH {REGION_GENES.replace(SEEDS, CAPSID_SEEDS)},
     wg AS (SELECT gene_id, sum(CASE WHEN prefix = 'EUK__' THEN 10 - rank ELSE 0 END) AS h, sum(CASE WHEN prefix NOT IN ('EUK__', 'BAC__', 'ARC__', 'MITO__') AND pident >= 25 THEN 10 - rank ELSE 0 END) AS v
        FROM ranked GROUP BY gene_id),
     pr AS (SELECT i.gene_id, i.genome_id, i.scaffold, i.i, i."start" AS s, i."end" AS e, coalesce(v, 0) AS vr, coalesce(sc.score, 0) AS hs, coalesce(has_viral, false) AS hv,

@@ -445,25 +445,25 @@ def parquet_stage(spark, sf):
 
 @query("genome_batch")
 def genome_batch(spark, sf):
-    """All genomes from tables to published candidates in one job."""
+    """All genomes from tables to published candidates in one job, by stages; labels give the host models."""
     from . import genomes as gn
 
     g = genes(spark, sf)
     lengths = g.groupBy(*KEYS).agg((F.max("end") + 2000).alias("seq_len"))
-    x = gn.Inputs(g.select(*KEYS, "gene_id", "start", "end"), hits(spark, sf), markers(spark, sf), lengths)
+    x = gn.Inputs(g.select(*KEYS, "gene_id", "start", "end"), hits(spark, sf), markers(spark, sf).withColumn("rescued", F.col("model") == "VP_Penton_1"), lengths, labels(spark, sf))
     out = gn.run(spark, x)
-    return out.select("genome_id", "scaffold", "region_id", "start", "end", "confidence_tier", "final_confidence", "published_class", "kept", "outcome")
+    return out.select("genome_id", "scaffold", "region_id", "seed_start", "seed_end", "start", "end", "confidence_tier", "final_confidence", "published_class", "kept", "outcome", "readmitted")
 
 
 @query(
     "fasta_export",
-    """SELECT '>' || doc_id || ' lang=' || lang || chr(10) || substr(text, 1, CAST(n_chars // 2 AS BIGINT)) AS value FROM documents WHERE n_chars // 2 > 0""",
+    """SELECT '>' || doc_id || ' lang=' || lang || chr(10) || text AS value FROM documents WHERE n_chars > 0""",
 )
 def fasta_export(spark, sf):
     from ..operators import intervals as iv
 
     d = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("eve_id"), "lang", "n_chars", F.col("text").alias("seq"))
-    spans = d.select("eve_id", F.lit(0).alias("start"), F.floor(F.col("n_chars") / 2).alias("end"))
+    spans = d.select("eve_id", F.lit(0).alias("start"), F.col("n_chars").alias("end"))
     cut_ = iv.slice_join(spans, d.select("eve_id", "lang", "seq"), ["eve_id"])
     return sinks.fasta_lines(cut_, "eve_id", F.concat(F.lit("lang="), F.col("lang")), "region_seq")
 

@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanforge.operators import hits as ho
-from spanforge.plans import genomes as gn
 from spanforge.sources import fasta, reports, sinks
 from spanforge.streaming.incremental import follow
 
@@ -80,36 +79,6 @@ def test_exports(spark, tmp_path):
     assert sorted(r.ani for r in reports.read_edges(spark, str(tmp_path / "e")).collect()) == [95.1235, 99.0]
 
 
-def inputs(spark, genomes):
-    genes, hits, marks, lengths, n = [], [], [], [], 0
-    for g in genomes:
-        lengths.append((g, "s", 120000))
-        for i in range(40):
-            gid = f"{g}_{i}"
-            genes.append((g, "s", gid, i * 3000, i * 3000 + 2000))
-            viral = 10 <= i < 16
-            hits.append((gid, ("NCLDV" if viral else "EUK") + "__x|1", 200.0, 60.0, 1e-30, 90.0, n, ("NCLDV" if viral else "EUK") + "__"))
-            n += 1
-            if viral:
-                marks.append((gid, f"GVOGm000{i - 9}", 150.0, 1e-20, 1, 250, n))
-    s = spark.createDataFrame
-    return gn.Inputs(
-        s(genes, "genome_id string, scaffold string, gene_id string, start bigint, end bigint"),
-        s(hits, "gene_id string, target string, bits double, pident double, evalue double, qcov double, ordinal bigint, prefix string"),
-        s(marks, "gene_id string, model string, score double, evalue double, q_start int, q_end int, ordinal bigint"),
-        s(lengths, "genome_id string, scaffold string, seq_len bigint"),
-    )
-
-
-def test_three_genomes_end_to_end(spark, tmp_path):
-    x = inputs(spark, ["g1", "g2", "g3"])
-    out = gn.run(spark, x).collect()
-    assert sorted((r.genome_id, r.start, r.end, r.published_class, r.kept) for r in out) == [(g, 25000, 52000, "NCLDV", True) for g in ("g1", "g2", "g3")]
-    assert all(r.confidence_tier == "HIGH" and r.gate_reason == "ncldv_mirus_high_medium_pass" for r in out)
-    done = spark.createDataFrame([("g1",), ("g3",)], "genome_id string")
-    assert {r.genome_id for r in gn.run(spark, x, done).collect()} == {"g2"}
-
-
 def test_stream_keeps_late_rows(spark, tmp_path):
     src, out, cp = (str(tmp_path / p) for p in ("in", "out", "cp"))
     spark.createDataFrame([("g1", 1), ("g2", 2), ("silent", -5)], "genome_id string, v int").write.parquet(src)
