@@ -306,7 +306,10 @@ def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", s
     high = F.shiftrightunsigned(F.xxhash64(F.col("term").cast("string")), 32)
     dealt = kept.join(number, "lang").withColumn("shards", F.ceil(F.col("kept") / audit.shard)).withColumn("shard", high % F.col("shards"))
     schema = "lang string, shard long, shards long, seed long, pilots array<int>, terms array<binary>, keys array<binary>"
-    hashes = cut(dealt.select("lang", "shard", "shards", "term").groupBy("lang", "shard").applyInArrow(_built, schema))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # dealt by shard as well: a language alone would be one task after the join above
+    dealt = dealt.select("lang", "shard", "shards", "term").repartition(parts, "lang", "shard")
+    hashes = cut(dealt.groupBy("lang", "shard").applyInArrow(_built, schema))
 
     counts = cut(recount(given, hashes, audit))
     groups = given.select("lang", "source").distinct().join(counts.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
@@ -324,7 +327,7 @@ def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", s
     some = some.select(*spot, "no", "block", "last", "n", "slot", _share(F.col("count"), F.col("total"), F.col("kept"), audit).alias("p"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("last")), lambda x: F.struct(F.least("block", x).alias("lo"), F.greatest("block", x).alias("hi")))
     tiles = none.unionByName(some).select(*spot, "no", "block", "n", "slot", "p", F.inline(pair))
-    apart = tiles.groupBy(*spot, "lo", "hi").applyInArrow(_apart, "lang string, a long, b long, value long")
+    apart = tiles.repartition(parts, *spot, "lo", "hi").groupBy(*spot, "lo", "hi").applyInArrow(_apart, "lang string, a long, b long, value long")
     apart = cut(apart.groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
     name = groups.select("lang", "source", "no")
     other = name.select("lang", F.col("source").alias("item"), F.col("no").alias("other"))
