@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..session import cut
-from .ordered import prefix_scan
+from .ordered import number_rows
 
 
 def roots(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -58,20 +58,8 @@ def number_clusters(members: DataFrame, edges: DataFrame, genome: str = "genome_
 
 
 def _in_order(sizes: DataFrame, genome: str) -> DataFrame:
-    """Zero-based ``cluster_id`` by falling size, then smallest member.
-
-    Clusters are counted per size first; inside one size, numeric ids are numbered by a
-    chunked scan, so the many small clusters of a genome are not sorted in one task.
-    """
-    per_size = sizes.groupBy(genome, "cluster_size").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(genome).orderBy(F.col("cluster_size").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_size.select(genome, "cluster_size", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    keys = [genome, "cluster_size"]
-    if dict(sizes.dtypes)["_first"] in ("int", "bigint"):
-        d = prefix_scan(sizes, keys, "_first", ["_first"], {"_i": ("count", F.lit(1))}, 65536)
-    else:
-        d = sizes.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy("_first")) - 1)
-    return d.join(offsets, keys).withColumn("cluster_id", F.col("_i") + F.col("_off")).drop("_i", "_off")
+    """Zero-based ``cluster_id`` by falling size, then smallest member, for ids of any type."""
+    return number_rows(sizes, [genome], [F.col("cluster_size").desc(), "_first"], "cluster_id")
 
 
 def propagate_class(members: DataFrame, genome: str = "genome_id") -> DataFrame:

@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 CHUNK = "_chunk"
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
@@ -146,3 +148,24 @@ def halo_window(
     for name, build in columns.items():
         d = d.withColumn(name, build(spec))
     return d.filter("_core").drop(CHUNK, "_core")
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
+    """Zero-based number of every row inside its key, in an order by columns of any type.
+
+    Rows are dealt to ranges of (keys, order) by sampled bounds and sorted there; the rows of a range
+    are counted, ranges are added up, and each key's first place is taken off. A key with
+    most rows lies on many ranges, so neither it nor anything larger is sorted in one task. The order
+    should be total; null keys are not numbered.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ranged = cut(df).repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+    # the id has the range in its upper bits and the place in the range in the 33 lower ones
+    d = cut(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    d = d.withColumn("_range", F.shiftright("_id", 33)).withColumn("_place", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    offset = d.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    d = d.join(offset, "_range").withColumn("_at", F.col("_off") + F.col("_place"))
+    first = d.groupBy(*keys).agg(F.min("_at").alias("_first_at"))
+    return d.join(first, keys).withColumn(out, (F.col("_at") - F.col("_first_at")).cast("bigint")).drop("_id", "_range", "_place", "_off", "_at", "_first_at")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
@@ -14,13 +14,22 @@ from .ordered import prefix_scan
 def medians(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
     """Exact median per key.
 
-    Rows are numbered by value in chunks of ``width``, so the values of a large group
-    are never held together; the middle one or two rows make the median.
+    Equal values are folded to one row with a count, map-side first, so a value that most rows
+    share is one row. The different values are scanned in chunks of ``width`` by running count;
+    those that cover the middle one or two places make the median. Null values don't count.
     """
-    d = prefix_scan(df.select(*keys, value), keys, value, [value], {"_i": ("count", F.lit(1))}, width)
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    mid = (F.col("_i") == F.floor((F.col("_n") - 1) / 2)) | (F.col("_i") == F.floor(F.col("_n") / 2))
-    return d.join(n, list(keys)).filter(mid).groupBy(*keys).agg(F.avg(value).alias("median"))
+    keys = list(keys)
+    folded = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    d = prefix_scan(folded, keys, value, [value], {"_before": ("sum", F.col("_c"))}, width)
+    n = folded.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    before = F.coalesce("_before", F.lit(0))
+
+    def covers(place: Column) -> Column:
+        return ((place >= before) & (place < before + F.col("_c"))).cast("int")
+
+    times = covers(F.floor((F.col("_n") - 1) / 2)) + covers(F.floor(F.col("_n") / 2))
+    d = d.join(n, keys).withColumn("_times", times).filter("_times > 0")
+    return d.groupBy(*keys).agg((F.sum(F.col(value) * F.col("_times")) / F.sum("_times")).alias("median"))
 
 
 def run_summary(df: DataFrame) -> DataFrame:

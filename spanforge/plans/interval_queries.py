@@ -293,7 +293,7 @@ def consecutive_blocks(spark, sf):
 def final_order(spark, sf):
     from ..operators.islands import number_regions
 
-    return number_regions(track(spark, sf), "genome_id", ["scaffold"], ["start", "end", "gene_id"], W, "number").select(
+    return number_regions(track(spark, sf), "genome_id", ["scaffold"], ["start", "end", "gene_id"], "number").select(
         "genome_id", "gene_id", "number"
     )
 

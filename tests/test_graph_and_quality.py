@@ -193,3 +193,38 @@ def test_missing_columns_and_enforcement(spark, tmp_path):
     assert ql.enforce(issues.withColumn("severity", F.lit("warning")), str(tmp_path / "b")) == 1
     with pytest.raises(ql.ContractError):
         ql.enforce(issues.withColumn("severity", F.lit("typo")), str(tmp_path / "c"))
+
+
+def test_numbers_by_string_keys_with_most_rows_in_one(spark):
+    from spanforge.operators.ordered import number_rows
+
+    rng = random.Random(6)
+    rows = [("hot" if i % 10 else f"g{i % 7}", f"id{rng.randrange(10**6):06d}", i) for i in range(3000)]
+    d = spark.createDataFrame(rows, "genome string, name string, n int")
+    got = number_rows(d, ["genome"], [F.col("name").desc(), "n"], "no").collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.genome, {})[r.no] = (r.name, r.n)
+    for genome, placed in by.items():
+        want = sorted([(x[1], x[2]) for x in rows if x[0] == genome], key=lambda v: v[1])
+        assert [placed[i] for i in range(len(placed))] == sorted(want, key=lambda v: v[0], reverse=True)
+    assert number_rows(d.limit(0), ["genome"], ["name"], "no").count() == 0
+
+
+def test_medians_of_tied_values(spark):
+    import statistics
+
+    from spanforge.operators.summary import medians
+
+    rows = [("a", 5.0)] * 900 + [("a", float(i % 50)) for i in range(100)] + [("b", 1.0), ("b", 4.0), ("c", 2.5), ("d", None), ("d", 7.0)]
+    got = {r.k: r.median for r in medians(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", 0.5).collect()}
+    assert got == {k: statistics.median(v for x, v in rows if x == k and v is not None) for k in "abcd"}
+
+
+def test_listed_words_by_automaton_and_by_join(spark, monkeypatch):
+    words = spark.createDataFrame([("ring", 3), ("in", 1), ("string", 5), ("bolt", 0), ("naïve", 2), ("in", 4)], "word string, pos int")
+    d = spark.createDataFrame([(1, "a string"), (2, "bolts in rings"), (3, "none"), (4, None), (5, "naïve ring"), (6, "")], "id int, t string")
+    want = {(1, "in", 1), (2, "bolt", 0), (5, "in", 1)}
+    assert {tuple(r) for r in sm.contains_first(d, "t", words, "word", "pos").select("id", "word", "pos").collect()} == want
+    monkeypatch.setattr(sm, "FEW_WORDS", 2)
+    assert {tuple(r) for r in sm.contains_first(d, "t", words, "word", "pos").select("id", "word", "pos").collect()} == want
