@@ -96,14 +96,11 @@ def fasta_lines(df: DataFrame, name: str, description: Column, seq: str) -> Data
 
 
 def write_text(lines: DataFrame, path: str, header: str | None = None) -> None:
-    """Text parts; the header line is a part of its own that sorts first."""
-    if header is None:
-        lines.write.mode("overwrite").text(path)
-        return
-    spark = lines.sparkSession
-    spark.createDataFrame([(header, "0")], "value string, part string").unionByName(
-        lines.withColumn("part", F.lit("1"))
-    ).write.mode("overwrite").partitionBy("part").text(path)
+    """Text parts; the header line is a part of its own, the first one of the folder."""
+    if header is not None:
+        first = lines.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
+        lines = first.unionByName(lines.select("value"))  # a union keeps the order of its parts
+    lines.write.mode("overwrite").text(path)
 
 
 def write_clustered(df: DataFrame, path: str, key: str) -> None:
