@@ -6,6 +6,7 @@ from . import (  # noqa: F401
     graph_queries,
     hit_queries,
     interval_queries,
+    reader_queries,
     region_queries,
     report_queries,
     sequence_queries,

@@ -32,7 +32,9 @@ def fields(lines: DataFrame, names: list[str], types: list[str], sep: str = "\t"
     d = lines.withColumn("_p", F.split("value", sep))
     d = d.filter(F.size("_p") >= (minimum or len(names)))
     at = at or list(range(len(names)))
-    cols = [(F.col("_p")[i] if t == "string" else F.col("_p")[i].try_cast(t)).alias(n) for i, n, t in zip(at, names, types)]
+    # a short row may be looked at before it is dropped
+    part = lambda i: F.get("_p", F.lit(i))
+    cols = [(part(i) if t == "string" else part(i).try_cast(t)).alias(n) for i, n, t in zip(at, names, types)]
     return d.select(*cols, *rest).dropna(subset=[n for n, t in zip(names, types) if t != "string"] or None)
 
 
@@ -114,6 +116,29 @@ def read_named_table(spark: SparkSession, path: str, required: list[str]) -> Dat
     return d
 
 
+def parse_late_headers(lines: DataFrame, names: list[str], sep: str = "\t") -> DataFrame:
+    """``source`` and the named columns as text, for files whose header comes after other lines, in any column order.
+
+    ``lines``: value, source (the file), ordinal. A file's header is its first line with all
+    ``names``; comments and what stands before it are no rows. A file without one gives an error when read;
+    a missing cell is null. Headers are one row per file and joined to its rows.
+    """
+    parts = lines.filter(~F.startswith("value", F.lit("#")) & (F.trim("value") != "")).withColumn("_p", F.split("value", sep))
+    lacks = F.size(F.array_except(F.array(*map(F.lit, names)), F.transform("_p", F.trim)))
+    found = parts.filter(lacks == 0).groupBy("source").agg(F.min("ordinal").alias("_at"), F.min_by(F.transform("_p", F.trim), "ordinal").alias("_header"))
+    d = parts.join(found, "source", "left")
+    none = F.raise_error(F.concat(F.lit("no header with the wanted columns in "), F.col("source")))
+    d = d.filter(F.when(F.col("_at").isNull(), none.cast("boolean")).otherwise(F.col("ordinal") > F.col("_at")))
+    cell = lambda n: F.nullif(F.trim(F.try_element_at("_p", F.array_position("_header", n).cast("int"))), F.lit("")).alias(n)
+    return d.select("source", *[cell(n) for n in names])
+
+
+def read_late_headers(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Files of a folder or pattern, each with its own header line and column order."""
+    lines = text_lines(spark, path)
+    return parse_late_headers(lines.withColumn("source", F.col("ordinal._f")), names)
+
+
 def parse_signatures(table: DataFrame) -> DataFrame:
     """(model, required domains, scope) with empty list items removed."""
     sig = F.filter(F.split(F.coalesce("pfam_signature", F.lit("")), ";"), lambda x: x != "")

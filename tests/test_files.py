@@ -87,3 +87,15 @@ def test_stream_keeps_late_rows(spark, tmp_path):
         follow(spark, src, "genome_id string, v int", out, cp, job).awaitTermination()
         spark.createDataFrame([("g2", 9), ("g3", 3), ("silent", 1)], "genome_id string, v int").write.mode("append").parquet(src)
     assert sorted((r.genome_id, r.v) for r in spark.read.parquet(out).collect()) == [("g1", 1), ("g2", 20), ("g3", 6)]
+
+
+def test_files_with_late_headers_in_any_order(spark, tmp_path):
+    folder = tmp_path / "late"
+    folder.mkdir()
+    put(folder / "a.tsv", "# tool 1\n# more\nid\tdomain\tn\nx\tNCLDV\t3\ny\t\t4\n")
+    put(folder / "b.tsv", "title\nn\tother\tid\tdomain\n# note\n7\t-\tz\tBAC\n\n8\n")
+    got = reports.read_late_headers(spark, str(folder), ["id", "domain", "n"]).collect()
+    assert sorted((r.source, r.id or "", r.domain, r.n) for r in got) == [("a.tsv", "x", "NCLDV", "3"), ("a.tsv", "y", None, "4"), ("b.tsv", "", None, "8"), ("b.tsv", "z", "BAC", "7")]
+    put(folder / "c.tsv", "nothing\nhere\n")
+    with pytest.raises(Exception, match="no header"):
+        reports.read_late_headers(spark, str(folder), ["id", "domain", "n"]).collect()
