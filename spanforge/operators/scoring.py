@@ -67,7 +67,7 @@ def score(df: DataFrame, use_boundary: bool = False, composition: bool = True, h
 
     ``composition=False`` is the counterfactual without the composition evidence.
     Everything is one projection chain; nothing is shuffled. Where the rows come out of a large
-    plan, ``stage`` (such as ``cut``) parts the chain after the components and after the sums,
+    plan, ``stage`` (such as ``cut``) parts the chain after the components, the sums and the raw score,
     so that no generated method gets too large to compile.
     """
     d = with_inputs(df)
@@ -150,7 +150,7 @@ def score(df: DataFrame, use_boundary: bool = False, composition: bool = True, h
     d = stage(d.withColumn("penalty", penalty).withColumn("weighted_base", base).withColumn("bonus_total", extra).withColumn("_floor", floor).withColumn("_cap", cap))
     raw = F.greatest(F.least(F.col("weighted_base") + F.col("bonus_total") + 0.15 * F.col("structure") - F.col("penalty"), F.col("_cap")), F.col("_floor"))
     evidence = F.when(F.col("viral_interior") > 0, F.col("viral_interior")).otherwise(F.col("viral_top10"))
-    d = d.withColumn("_raw", raw).drop("_floor", "_cap")
+    d = stage(d.withColumn("_raw", raw).drop("_floor", "_cap"))
     low = F.when((evidence == 0) & ~mcp, capped(F.col("_raw"), 0.05)).otherwise(F.col("_raw"))
     d = d.withColumn("_raw", low)
     low = F.when((n > 0) & ~mcp & (F.col("viral_fraction") < 0.05), capped(F.col("_raw"), 0.19)).otherwise(F.col("_raw"))

@@ -12,7 +12,7 @@ from .candidate_queries import GATE, features, gated
 from .fingerprint_queries import HOST, host_model
 from .hit_queries import VALID_CTES, validated
 from .registry import query
-from .tables import GENES, HITS, KEYS, MARKERS, VIRAL_LIST, genes, hits, load, markers
+from .tables import GENES, HITS, KEYS, MARKERS, VIRAL_LIST, genes, hits, labels, load, markers
 
 # ------------------------------------------------------------------ summaries
 
