@@ -9,6 +9,7 @@ probability, so that nothing is won or lost by unknown words.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,9 +33,9 @@ ADD = 0.1
 class Shape:
     """``head`` words have outputs of their own, ``in_class`` in each class; ``endings`` classes hold the others.
 
-    Each of ``rounds`` trains on every training document, at any corpus size, everywhere at once,
-    and averages what the tasks have learned. ``least_tokens`` has no effect and is only accepted.
-    ``chunk_tokens`` and ``chunk_words`` bound what a task holds at one time.
+    The training documents are dealt over ``rounds``, so each is trained on once at any corpus size.
+    A round starts a copy of the network per chunk, everywhere at once, and averages what the copies have learned.
+    ``chunk_tokens`` and ``chunk_words`` bound a chunk, which is what a task holds at one time.
     """
 
     head: int = 1024
@@ -43,13 +44,12 @@ class Shape:
     ending: int = 3
     hidden: int = 16
     inner: int = 16
-    least_tokens: int = 1_500_000
     rounds: int = 2
-    streams: int = 64
-    window: int = 16
-    rate: float = 0.01
-    score_streams: int = 512
-    score_window: int = 32
+    streams: int = 256
+    window: int = 8
+    rate: float = 0.03
+    score_streams: int = 256
+    score_window: int = 16
     chunk_tokens: int = 4_000_000
     chunk_words: int = 400_000
     seed: int = 3
@@ -62,6 +62,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def _softmax(logits: np.ndarray, at: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log of the softmax of each row at one place, and its slope on the logits, negated; ``logits`` is used up."""
+    rows = np.arange(len(logits))
+    logits -= logits.max(1, keepdims=True)
+    mine = logits[rows, at].copy()
+    e = np.exp(logits, out=logits)
+    total = e.sum(1)
+    if slope:
+        e /= total[:, None]
+        e[rows, at] -= 1
+    return mine - np.log(total), e if slope else None
+
+
 @dataclass
 class Network:
     """Input rows ``E``; gates update, reset, candidate from ``Wx, b`` and ``Wh``; classes ``Wc, bc``; words of a class ``Ww, bw``."""
@@ -94,6 +107,8 @@ class Network:
         into = (self.p["E"] @ self.p["Wx"] + self.p["b"])[symbols]
         before = np.empty((n, *h.shape), np.float32)
         wh = self.p["Wh"]
+        if keep is not None:
+            keep |= {name: np.empty((n, *h.shape), np.float32) for name in ("z", "r", "cand", "from_h")}
         for t in range(n):
             before[t] = h
             from_h, x = h @ wh, into[t]
@@ -102,57 +117,56 @@ class Network:
             cand = np.tanh(x[:, 2 * size :] + r * from_h[:, 2 * size :])
             h = cand + z * (h - cand)
             if keep is not None:
-                keep[t] = (z, r, cand, from_h[:, 2 * size :])
+                keep["z"][t], keep["r"][t], keep["cand"][t], keep["from_h"][t] = z, r, cand, from_h[:, 2 * size :]
         return before, h
 
     def log_probabilities(self, h: np.ndarray, cls: np.ndarray, word: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Natural log of class and, in classes of head words, of the word, for each row of states; fills ``grads`` if given."""
-        logits = h @ self.p["Wc"] + self.p["bc"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        rows = np.arange(len(h))
-        out = logits[rows, cls] - np.log(total)
+        out, d = _softmax(h @ self.p["Wc"] + self.p["bc"], cls, grads is not None)
         if grads is not None:
-            d = e / total[:, None]
-            d[rows, cls] -= 1
             grads["Wc"], grads["bc"], grads["h"] = h.T @ d, d.sum(0), d @ self.p["Wc"].T
             grads["Ww"], grads["bw"] = np.zeros_like(self.p["Ww"]), np.zeros_like(self.p["bw"])
+        # rows by class, so that each class is one product and all share one softmax
         order = np.argsort(cls, kind="stable")
         ends = np.searchsorted(cls[order], np.arange(len(self.p["Ww"]) + 1))
-        for k in range(len(self.p["Ww"])):
-            at = order[ends[k] : ends[k + 1]]
-            if not len(at):
-                continue
-            own = h[at]
-            logits = own @ self.p["Ww"][k] + self.p["bw"][k]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(1)
-            rows = np.arange(len(at))
-            out[at] += logits[rows, word[at]] - np.log(total)
-            if grads is not None:
-                d = e / total[:, None]
-                d[rows, word[at]] -= 1
-                grads["Ww"][k], grads["bw"][k] = own.T @ d, d.sum(0)
-                grads["h"][at] += d @ self.p["Ww"][k].T
+        order = order[: ends[-1]]
+        own = h[order]
+        logits = np.empty((len(order), self.p["bw"].shape[1]), np.float32)
+        live = [k for k in range(len(self.p["Ww"])) if ends[k] < ends[k + 1]]
+        for k in live:
+            at = slice(ends[k], ends[k + 1])
+            np.matmul(own[at], self.p["Ww"][k], out=logits[at])
+            logits[at] += self.p["bw"][k]
+        log, d = _softmax(logits, word[order], grads is not None)
+        out[order] += log
+        if grads is not None:
+            back = np.empty_like(own)
+            for k in live:
+                at = slice(ends[k], ends[k + 1])
+                grads["Ww"][k], grads["bw"][k] = own[at].T @ d[at], d[at].sum(0)
+                np.matmul(d[at], self.p["Ww"][k].T, out=back[at])
+            grads["h"][order] += back
         return out
 
     def backward(self, symbols: np.ndarray, before: np.ndarray, kept: dict, on_states: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the recurrent part over one window, by those of the states before each step."""
         steps, streams, size = before.shape
-        wh, grad_wh = self.p["Wh"], np.zeros_like(self.p["Wh"])
-        on_gates = np.empty((steps, streams, 3 * size), np.float32)
+        wh, z, r, cand = self.p["Wh"].T, kept["z"], kept["r"], kept["cand"]
+        # what each gate makes of a slope on the next state, for all steps at once
+        to_cand, to_z, to_r = (1 - z) * (1 - cand * cand), (before - cand) * z * (1 - z), kept["from_h"] * r * (1 - r)
+        on_gates, back = (np.empty((steps, streams, 3 * size), np.float32) for _ in range(2))
         d = np.zeros((streams, size), np.float32)  # what comes after the window isn't followed
         for t in range(steps - 1, -1, -1):
-            z, r, cand, from_h = kept[t]
-            dc = d * (1 - z) * (1 - cand * cand)
-            dz = d * (before[t] - cand) * z * (1 - z)
-            dr = dc * from_h * r * (1 - r)
-            on_gates[t] = np.concatenate([dz, dr, dc], 1)
-            back = np.concatenate([dz, dr, dc * r], 1)
-            grad_wh += before[t].T @ back
-            d = d * z + back @ wh.T + on_states[t]
+            g, b = on_gates[t], back[t]
+            np.multiply(d, to_z[t], out=g[:, :size])
+            np.multiply(d, to_cand[t], out=g[:, 2 * size :])
+            np.multiply(g[:, 2 * size :], to_r[t], out=g[:, size : 2 * size])
+            b[:, : 2 * size] = g[:, : 2 * size]
+            np.multiply(g[:, 2 * size :], r[t], out=b[:, 2 * size :])
+            d *= z[t]
+            d += b @ wh
+            d += on_states[t]
+        grad_wh = before.reshape(-1, size).T @ back.reshape(-1, 3 * size)
         g = on_gates.reshape(-1, 3 * size)
         flat = symbols.ravel()
         per_symbol = np.zeros((len(self.p["E"]), 3 * size), np.float32)
@@ -191,10 +205,14 @@ class Streams:
 
 
 def train(net: Network, docs: list[np.ndarray], shape: Shape, classes: np.ndarray, words: np.ndarray) -> Network:
-    """Truncated backpropagation over windows of the documents' symbols; Adam with clipped gradients."""
+    """Truncated backpropagation over windows of the documents' symbols; Adam with clipped gradients.
+
+    The rate falls to zero over the symbols, so that a copy ends settled however few it has, and with the
+    share of streams that still run.
+    """
     net = Network({k: v.copy() for k, v in net.p.items()})
     m, v = ({k: np.zeros_like(x) for k, x in net.p.items()} for _ in range(2))
-    flat, step = np.concatenate(docs), 0
+    flat, step, done = np.concatenate(docs), 0, 0
     lanes = Streams(np.array([len(x) for x in docs]), shape.streams, shape.window)
     h = np.zeros((lanes.streams, shape.hidden), np.float32)
     for where, new in lanes:
@@ -209,7 +227,8 @@ def train(net: Network, docs: list[np.ndarray], shape: Shape, classes: np.ndarra
         grads |= net.backward(symbols, before, kept, on_states)
         n, step = int(live.sum()), step + 1
         norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads.values()))) / n
-        rate = float(shape.rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step))
+        rate = float(shape.rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)) * (1 - done / len(flat)) * min(1.0, n / live.size * 2)
+        done += n
         for k, g in grads.items():
             g = g / n * min(1.0, 1.0 / max(norm, 1e-9))
             m[k] = 0.9 * m[k] + 0.1 * g
@@ -326,10 +345,9 @@ def _staged(batches: Iterator[pa.RecordBatch], shape: Shape, keys: pa.Schema) ->
         for key, held, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2)), strict=True):
             ids = np.concatenate([np.zeros(0, np.int32), *(np.fromiter(map(words.__getitem__, part.lower().split()), np.int32) for part in pieces(text))])
             if not held and len(ids):
-                add = np.bincount(ids, minlength=len(counts))
-                if len(add) > len(counts):
-                    counts = np.r_[counts, np.zeros(max(len(add) - len(counts), len(counts)), np.int64)]
-                counts[: len(add)] += add[: len(counts)]
+                if len(words) > len(counts):
+                    counts = np.r_[counts, np.zeros(len(words), np.int64)]
+                np.add.at(counts, ids, 1)
             docs.append((key, held, len(ids), squeeze(ids.tobytes())))
             n += len(ids)
             if n > shape.chunk_tokens or len(words) > shape.chunk_words:
@@ -384,41 +402,64 @@ def vocabulary(counts: DataFrame, train_docs: int, shape: Shape) -> Vocabulary:
     )
 
 
-def _learn(rows: DataFrame, vocab: Vocabulary, net: Network, shape: Shape) -> Network:
-    """One round: every task trains a copy on its documents; the mean, weighted by tokens, is the result."""
-    classes, words = vocab.classes, vocab.words
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = vocab.symbol(END)
-        own, n, docs = net, 0, []
-        held = 0
-
-        def learn() -> None:
-            nonlocal own, docs, held
-            if docs:
-                own = train(own, docs, shape, classes, words)
-            docs, held = [], 0
-
-        for b in batches:
-            for text in texts(b.column(0)):
-                x = np.array([*(vocab.symbol(w) for part in pieces(text) for w in part.lower().split()), end], np.int64)
-                docs.append(x)
-                n += len(x)
-                held += len(x)
-                if held > shape.chunk_tokens // 4:
-                    learn()
-        learn()
-        if n:
-            flat = own.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * n), pa.array(np.full(len(flat), float(n)))], names=["at", "x", "n"])
-
-    mean = rows.mapInArrow(run, "at long, x double, n double").groupBy("at").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
-    if not mean:
-        return net
-    flat = np.empty(len(mean))
-    for r in mean:
-        flat[r.at] = r.x
-    return net.filled(flat)
+def _parameters(rows: list[tuple[np.ndarray, float]]) -> pa.RecordBatch:
+    """One row: the sum of parameters times tokens, and the tokens."""
+    return pa.RecordBatch.from_arrays([pa.array([sum(x for x, _ in rows).tobytes()], pa.binary()), pa.array([float(sum(n for _, n in rows))])], names=["x", "n"])
+
+
+def _learned(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, net: Network, shape: Shape, turn: int) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of chunks to the summed parameters of the copies that learned from them: documents of one turn."""
+    expand = zstandard.ZstdDecompressor().decompress
+    classes, places, end = vocab.classes, vocab.words, vocab.symbol(END)
+    now, symbols, docs, made = None, np.empty(0, np.int64), [], []
+
+    def close() -> None:
+        if docs:
+            own = [x for _, x in sorted(docs, key=lambda d: (len(d[1]), d[0]))]  # in any order they come
+            n = sum(map(len, own))
+            made.append((train(net, own, shape, classes, places).flat().astype(np.float64) * n, n))
+            if len(made) > 1:
+                made[:] = [(sum(x for x, _ in made), sum(k for _, k in made))]
+
+    for b in batches:
+        for chunk, kind, n, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if chunk != now:
+                close()
+                now, docs = chunk, []
+            if kind == 0:
+                symbols = np.fromiter(map(vocab.symbol, expand(blob).split(b"\n") if n else []), np.int64)
+            elif (mark := zlib.crc32(blob)) % shape.rounds == turn:
+                docs.append((mark, np.r_[symbols[np.frombuffer(expand(blob), np.int32)], end]))
+    close()
+    if made:
+        yield _parameters(made)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [(np.frombuffer(x, np.float64), n) for b in batches for x, n in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    if rows:
+        yield _parameters(rows)
+
+
+def _learn(staged: DataFrame, vocab: Vocabulary, net: Network, shape: Shape, turn: int) -> Network:
+    """One round: a copy per chunk trains on the chunk's documents of this turn; the mean by tokens is the result.
+
+    Parameters travel as one blob per task and are added up in groups of 32 until few are left.
+    """
+    spark = staged.sparkSession
+    kind = "x binary, n double"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = staged.filter("kind = 0 or (kind = 2 and not held)").select("chunk", "kind", "n", "blob")
+    dealt = rows.repartition(parts, "chunk").sortWithinPartitions("chunk", "kind")
+    path = shared_path(spark, "lm-learned")
+    dealt.mapInArrow(lambda it: _learned(it, vocab, net, shape, turn), kind).write.parquet(path)
+    sums = spark.read.parquet(path)
+    while (left := sums.count()) > 32:
+        path = shared_path(spark, "lm-learned")
+        sums.repartition(-(-left // 32)).mapInArrow(_added, kind).write.parquet(path)
+        sums = spark.read.parquet(path)
+    got = [(np.frombuffer(r.x, np.float64), r.n) for r in sums.collect()]  # at most 32 networks
+    return net.filled(sum(x for x, _ in got) / sum(n for _, n in got)) if got else net
 
 
 def _scored(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, net: Network, shape: Shape, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -484,8 +525,8 @@ def score_documents(docs: DataFrame, held: Column, key: str = "doc_id", text: st
     of_docs = staged.filter("kind = 2 and not held").agg(F.count(F.lit(1)).alias("docs")).first()
     vocab = vocabulary(counts, of_docs["docs"], shape)
     net = vocab.network()
-    for _ in range(shape.rounds):
-        net = _learn(rows.filter(~F.col("held")).select("text"), vocab, net, shape)
+    for turn in range(shape.rounds):
+        net = _learn(staged, vocab, net, shape, turn)
     found = pairs.join(counts, "word").select("chunk", "id", "c").mapInArrow(_by_chunk, "chunk long, blob binary, counts binary")
     none = F.lit(None)
     found = found.select("chunk", F.lit(1).alias("kind"), none.cast("boolean").alias("held"), none.cast("long").alias("n"), "blob", "counts", none.cast(docs.schema[key].dataType).alias("key"))

@@ -3,13 +3,15 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from spanforge.llm import lm, queries
 from spanforge.llm.text import fold
 
-SMALL = lm.Shape(head=8, in_class=4, endings=3, hidden=5, inner=4, streams=3, window=4, score_streams=4, score_window=3, least_tokens=10**9)
+SMALL = lm.Shape(head=8, in_class=4, endings=3, hidden=5, inner=4, streams=3, window=4, score_streams=4, score_window=3)
 
 
 def network(shape=SMALL, seed=0):
@@ -106,7 +108,7 @@ def test_counts_and_base(spark, chunk):
     texts = [" ".join(r.choice(["The", "the", "of", "É", "é", "word", "longer\x0bx", *map(str, range(30))], r.integers(0, 60))) for _ in range(60)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(100, None), (101, ""), (7, "the twice"), (7, "the twice"), (None, "the null key"), (102, "rare " * 3000)]
     df = spark.createDataFrame([(i, t, False, 5) for i, t in rows], "doc_id long, text string, held boolean, n long").repartition(3)
-    got = lm.score_documents(df, fold("doc_id", 10) == 0, shape=lm.Shape(head=8, in_class=4, endings=3, hidden=4, inner=4, chunk_tokens=chunk, least_tokens=100)).collect()
+    got = lm.score_documents(df, fold("doc_id", 10) == 0, shape=lm.Shape(head=8, in_class=4, endings=3, hidden=4, inner=4, chunk_tokens=chunk)).collect()
     key = lambda x: (str(x[0]), x[2:])
     assert sorted(((*x[:5], round(x[5], 6)) for x in got), key=key) == sorted(plain_base(rows), key=key)
     assert all(math.isfinite(x.score) and x.score < 0 for x in got)
@@ -124,11 +126,25 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert got.s > got.b + 0.1 * got.n
 
 
-def test_every_round_trains_on_every_training_document(spark, monkeypatch):
-    rows = [(i, f"text {i % 50} of many") for i in range(400)] + [(None, "no key"), (7, "twice"), (7, "twice"), (8, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+def test_each_document_is_trained_on_in_one_round(monkeypatch):
+    squeeze = zstandard.ZstdCompressor().compress
+    words = [b"a", b"b", b"c"]
+    texts = [[i % 3, (i // 3) % 3, (i // 9) % 3, 0, 1][: 1 + i % 5] for i in range(200)] + [[], [0], [0]]
     learned = []
-    monkeypatch.setattr(lm, "_learn", lambda part, vocab, net, shape: learned.append([r.text for r in part.collect()]) or net)
-    lm.score_documents(df, fold("doc_id", 10) == 0, shape=lm.Shape(least_tokens=0))
-    want = [t for i, t in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 10]
-    assert len(learned) == lm.Shape().rounds and all(sorted(map(str, x)) == sorted(map(str, want)) for x in learned)
+    monkeypatch.setattr(lm, "train", lambda net, docs, *_: learned.append([tuple(x) for x in docs]) or net)
+    shape = lm.Shape(head=8, in_class=4, endings=3, hidden=4, inner=4)
+    vocab = lm.Vocabulary(shape, {lm.END: 0, **{w: i + 1 for i, w in enumerate(words)}}, np.ones(8), {}, np.ones(3), 100, 4)
+    for turn in range(shape.rounds):
+        rows = [(7, 0, 3, squeeze(b"\n".join(words)))] + [(7, 2, len(x), squeeze(np.array(x, np.int32).tobytes())) for x in texts]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["chunk", "kind", "n", "blob"]) for part in (rows[:50], rows[50:])]
+        out = list(lm._learned(iter(batches), vocab, vocab.network(), shape, turn))
+        assert len(out) == 1 and out[0].column(1)[0].as_py() == sum(map(len, learned[-1]))
+    both = sorted(learned[0] + learned[1])
+    assert both == sorted(tuple(w + 1 for w in x) + (0,) for x in texts) and all(learned)
+
+
+def test_parameters_are_added_up_in_groups():
+    rows = [(np.arange(4.0) * i, i) for i in range(1, 6)]
+    one = lm._parameters(rows[:3]), lm._parameters(rows[3:])
+    (out,) = lm._added(iter(one))
+    assert np.frombuffer(out.column(0)[0].as_py()).tolist() == sum(x for x, _ in rows).tolist() and out.column(1)[0].as_py() == 15
