@@ -109,7 +109,7 @@ def score(df: DataFrame, use_boundary: bool = False, composition: bool = True, h
     if use_boundary:
         w_crf = F.when(n <= 2, 0.06).when(n <= 4, 0.12).otherwise(F.lit(0.18))
     w_comp = F.when(comp > 0, 0.18).otherwise(F.lit(0.0)) if composition else F.lit(0.0)
-    total = w_crf + w_comp + 0.24 + 0.24 + 0.08 + 0.08
+    total = w_crf + w_comp + 0.64  # 0.24 + 0.24 + 0.08 + 0.08 added one by one lands a bit beside it
     base = (w_crf * crf + w_comp * comp + 0.24 * mark + 0.24 * gene + 0.08 * inter + 0.08 * seed) / total
 
     # bonuses

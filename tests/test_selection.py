@@ -83,3 +83,12 @@ def test_score_floors_and_caps(spark):
     got = {r.id: r.final_confidence for r in sc.score(d).collect()}
     assert got[1] >= 0.80 and got[3] >= 0.55 and got[2] <= 0.05
     assert all(0 <= v <= 1 for v in got.values())
+
+
+def test_a_score_just_below_the_threshold_stays_below(spark):
+    """The weights of the base add up to 0.82 as one number; added one by one they lifted this order to 0.7 and HIGH."""
+    from spanforge.plans import candidate_queries as cq
+
+    d = spark.createDataFrame([(16782, 4310)], "o_orderkey bigint, o_custkey bigint")
+    row = sc.score(d.selectExpr(*[f"{sql} AS {name}" for name, sql in cq.FEATURES.items()])).select("final_confidence", sc.tier_of(F.col("final_confidence")).alias("tier")).first()
+    assert 0.6999999 < row.final_confidence < 0.7 and row.tier == "MEDIUM"
