@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -244,3 +245,18 @@ def migrate_header(c: Column, collides: Column) -> Column:
     """Sequence header: the id before the first bar is migrated, the rest kept."""
     head, tail = F.split_part(c, F.lit("|"), F.lit(1)), F.regexp_extract(c, r"^[^|]*(\|.*)$", 1)
     return F.concat(migrate_id(head, collides), tail)
+
+
+# ------------------------------------------------------------------ numbers
+
+
+def _four_decimals(values: pa.Array) -> pa.Array:
+    return pa.array([None if v is None else f"{v:.4f}" for v in values.to_pylist()], pa.string())
+
+
+def four_decimals(value: Column) -> Column:
+    """Four decimals of the exact value of a double, as C and Python print it.
+
+    ``format_string`` rounds the shortest decimal form half up, which lifts a double just below the middle.
+    """
+    return F.arrow_udf(_four_decimals, "string")(value)

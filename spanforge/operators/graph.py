@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import vocab
+from ..functions import text, vocab
 from ..session import cut
 from .ordered import number_rows
 
@@ -126,5 +126,5 @@ def cluster_and_propagate(nodes: DataFrame, edges: DataFrame, genome: str = "gen
 
 def edge_table(edges: DataFrame) -> DataFrame:
     """Edges as published: sorted, four decimals."""
-    cols = [F.format_string("%.4f", F.col(c).cast("double")).alias(c) for c in ("ani", "af_a", "af_b")]
+    cols = [text.four_decimals(F.col(c).cast("double")).alias(c) for c in ("ani", "af_a", "af_b")]
     return edges.select("a", "b", *cols).orderBy("a", "b", "ani", "af_a", "af_b")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import gff_escape
+from ..functions.text import four_decimals, gff_escape
 
 # fixed values: the detailed table's columns, in order
 DETAILED_COLUMNS = """eve_id scaffold start end length confidence_tier final_confidence effective_eve_class likely_family ppv_subtype likely_group
@@ -24,14 +24,14 @@ ani_cluster_id ani_cluster_size ani_max_percent taxonomy_class_before_ani taxono
 
 def fixed_score(confidence: Column) -> Column:
     """0..1000 from the four-decimal confidence that is published."""
-    shown = F.format_string("%.4f", confidence.cast("double")).cast("double")
+    shown = four_decimals(confidence.cast("double")).cast("double")
     return F.least(F.lit(1000), F.floor(shown * 1000)).cast("int")
 
 
 def cell(c: Column, kind: str) -> Column:
     """Text of one cell; missing values show as a dot."""
     if kind in ("double", "float"):
-        text = F.format_string("%.4f", c.cast("double"))
+        text = four_decimals(c.cast("double"))
     elif kind == "boolean":
         text = c.cast("int").cast("string")
     elif kind.startswith("array"):
@@ -69,7 +69,7 @@ def gff_lines(df: DataFrame, source: str = "spanforge") -> DataFrame:
         return text if show is None else F.when(show, text)
 
     e = lambda c: gff_escape(F.col(c).cast("string"))
-    attrs = [attr("ID", e("eve_id")), attr("Name", e("eve_id")), attr("confidence", F.format_string("%.4f", F.col("final_confidence").cast("double")))]
+    attrs = [attr("ID", e("eve_id")), attr("Name", e("eve_id")), attr("confidence", four_decimals(F.col("final_confidence").cast("double")))]
     for c in ("status", "hallmark_diversity", "effective_eve_class"):
         if c in have:
             attrs.append(attr(c, e(c)))

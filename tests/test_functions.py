@@ -184,3 +184,10 @@ def test_votes(spark):
 def test_qualified_hits_need_identity(spark):
     arr = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(p).alias("prefix"), F.lit(x).alias("pident")) for i, (p, x) in enumerate([("EUK__", 90.0), ("VP__", 24.9), ("GVMAG__", 25.0)])])
     assert one(spark, hx.has_qualified_hit(arr), hx.qualified_classes(arr), hx.best_hit_bucket(arr, F.lit("EUK__x"), F.lit("EUK"))) == (True, ["NCLDV"], "GVMAG")
+
+
+def test_four_decimals_of_the_exact_value(spark):
+    """Doubles just below and just above the middle of two four-decimal numbers, the middle itself, missing ones."""
+    values = [0.70875, 0.77125, 0.65775, 0.5, 0.03125, 0.00005, 0.99995, 1.0, None]
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", text.four_decimals(F.col("v")).alias("t"))
+    assert [r.t for r in d.orderBy("i").collect()] == [None if v is None else f"{v:.4f}" for v in values]
