@@ -133,3 +133,12 @@ def test_windows_tiles_and_midpoints(spark):
     assert t.filter("id = 'e'").count() == 1
     own = spark.range(1).select(iv.owns_midpoint(F.lit(8), F.lit(12), F.lit(10), F.lit(20)), iv.owns_midpoint(F.lit(8), F.lit(12), F.lit(0), F.lit(10))).first()
     assert tuple(own) == (True, False)
+
+
+def test_no_join_broadcasts_a_side_copied_per_bin(spark):
+    """The estimate of a small table that is copied per bin stays small, so the plan has to name the join."""
+    a = spark.range(10).selectExpr("id % 2 AS k", "id AS start", "id + 1000000 AS end")
+    b = a.selectExpr("k", "start AS r_start", "end AS r_end")
+    for d in (iv.overlap_join(a, b, ["k"], 16), iv.point_join(a.withColumn("mid", F.col("start")), b, ["k"], 16), iv.containment_join(a, b, ["k"], 16)):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
