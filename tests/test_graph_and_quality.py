@@ -228,3 +228,18 @@ def test_listed_words_by_automaton_and_by_join(spark, monkeypatch):
     assert {tuple(r) for r in sm.contains_first(d, "t", words, "word", "pos").select("id", "word", "pos").collect()} == want
     monkeypatch.setattr(sm, "FEW_WORDS", 2)
     assert {tuple(r) for r in sm.contains_first(d, "t", words, "word", "pos").select("id", "word", "pos").collect()} == want
+
+
+def test_a_stage_writes_less_than_a_checkpoint(spark):
+    """Region genes and k-mers are staged as compressed columns, with the same rows and types."""
+    import glob
+    import os
+
+    from spanforge.session import shared_dir, stage
+
+    rows = spark.range(50000).selectExpr("id AS region_id", "'interior' AS role", "id % 7 AS pos", "id % 2 = 0 AS viral")
+    before = set(glob.glob(shared_dir(spark).removeprefix("file:") + "/stage-*"))
+    back = stage(rows)
+    (path,) = set(glob.glob(shared_dir(spark).removeprefix("file:") + "/stage-*")) - before
+    size = sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path))
+    assert size < 50000 * 16 and back.dtypes == rows.dtypes and back.exceptAll(rows).isEmpty() and back.count() == 50000
