@@ -89,8 +89,11 @@ def share_of(df: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
     return c.join(total, list(keys)).withColumn("fraction", F.col("n") / F.col("_t")).drop("_t")
 
 
-def domain_summary(hits: DataFrame, keys: Sequence[str], viral_words: Sequence[str], organelle_words: Sequence[str]) -> DataFrame:
-    """Annotation hits per region: totals, keyword hits, categories and score."""
+def domain_summary(hits: DataFrame, keys: Sequence[str], viral_words: Sequence[str], organelle_words: Sequence[str], only: Sequence[str] | None = None) -> DataFrame:
+    """Annotation hits per region: totals, keyword hits, categories and score.
+
+    With ``only``, a hit that names any other category gives none at all.
+    """
     from ..functions.text import keyword_tags
 
     words = {k: v for k, v in vocab.CATEGORY_KEYWORDS.items()}
@@ -105,7 +108,10 @@ def domain_summary(hits: DataFrame, keys: Sequence[str], viral_words: Sequence[s
     base = hits.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_hits"), F.count_if(any_of(viral_words)).alias("viral_hits"), F.count_if(any_of(organelle_words)).alias("organelle_hits")
     )
-    cats = hits.select(*keys, F.explode(keyword_tags(F.col("text"), words)).alias("c")).distinct().groupBy(*keys).agg(F.array_sort(F.collect_set("c")).alias("categories"))
+    tagged = hits.select(*keys, keyword_tags(F.col("text"), words).alias("_tags"))
+    if only is not None:
+        tagged = tagged.filter(F.size(F.array_except("_tags", F.array(*map(F.lit, only)))) == 0)
+    cats = tagged.select(*keys, F.explode("_tags").alias("c")).distinct().groupBy(*keys).agg(F.array_sort(F.collect_set("c")).alias("categories"))
     d = base.join(cats, list(keys), "left").withColumn("categories", F.coalesce("categories", F.array().cast("array<string>")))
     return d.withColumn("category_score", F.least(F.size("categories") / 4.0, F.lit(1.0)))
 
