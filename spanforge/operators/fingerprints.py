@@ -36,15 +36,20 @@ def top_tokens(fp: DataFrame, keys: Sequence[str], k: int = 20) -> DataFrame:
     )
 
 
-def host_model_hits(markers: DataFrame, ranked: DataFrame, summary: DataFrame, host_prefix: str = "EUK__") -> DataFrame:
+def host_model_hits(markers: DataFrame, ranked: DataFrame, summary: DataFrame | None = None, host_prefix: str = "EUK__") -> DataFrame:
     """Host hits of host markers whose gene shows no viral namespace, ranked anew.
 
-    Rows repeat per marker, since every marker of a gene adds to the model.
+    Rows repeat per marker, since every marker of a gene adds to the model. Without a
+    ``summary`` the namespaces of a gene are read from ``ranked``, without its list of hits.
     """
-    clean = summary.filter(
-        F.exists("top10", lambda h: h["prefix"] == host_prefix)
-        & ~F.exists("top10", lambda h: h["prefix"].isin(vocab.HOST_MODEL_EXCLUDED))
-    ).select("gene_id")
+    if summary is None:
+        seen = ranked.groupBy("gene_id").agg(F.bool_or(F.col("prefix") == host_prefix).alias("_h"), F.bool_or(F.col("prefix").isin(vocab.HOST_MODEL_EXCLUDED)).alias("_x"))
+        clean = seen.filter(F.col("_h") & ~F.col("_x")).select("gene_id")
+    else:
+        clean = summary.filter(
+            F.exists("top10", lambda h: h["prefix"] == host_prefix)
+            & ~F.exists("top10", lambda h: h["prefix"].isin(vocab.HOST_MODEL_EXCLUDED))
+        ).select("gene_id")
     host_markers = markers.filter(text.is_host_marker(F.col("model"))).join(clean, "gene_id", "left_semi")
     w = Window.partitionBy("gene_id").orderBy("rank")
     host_hits = ranked.filter(F.col("prefix") == host_prefix).withColumn("rank", F.row_number().over(w) - 1)
@@ -78,19 +83,21 @@ def normalised(fp: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
 def jaccard(
     fp: DataFrame, base: DataFrame, keys: Sequence[str], base_keys: Sequence[str], drop_domains: bool, out: str = "score"
 ) -> DataFrame:
-    """Weighted Jaccard of each fingerprint with the base of its ``base_keys``."""
+    """Weighted Jaccard of each fingerprint with the base of its ``base_keys``.
+
+    A key has one row per token, so its total is a window over few rows and ``fp`` is read once.
+    """
     if drop_domains:
         fp = fp.filter(~F.col("token").isin(vocab.DOMAIN_TOKENS))
         base = base.filter(~F.col("token").isin(vocab.DOMAIN_TOKENS))
-    left = normalised(fp, keys, "_g")
+    total = F.sum("weight").over(Window.partitionBy(*keys))
+    left = fp.select(*keys, "token", "weight", total.alias("_total"))
+    share = F.when(F.col("_total") > 0, F.col("weight") / F.col("_total"))
     right = normalised(base, base_keys, "_h")
-    shared = (
-        left.join(right, [*base_keys, "token"])
-        .groupBy(*keys)
-        .agg(F.sum(F.least("_g", "_h")).alias("_overlap"))
-        .select(*keys, (F.col("_overlap") / (2 - F.col("_overlap"))).alias(out))
-    )
-    return fp.select(*keys).distinct().join(shared, list(keys), "left").fillna(0.0, [out])
+    # a token outside the base has no overlap; a plain least() would pass over its null
+    overlap = F.coalesce(F.sum(F.when(F.col("_h").isNotNull() & share.isNotNull(), F.least(share, F.col("_h")))), F.lit(0.0))
+    shared = left.join(right, [*base_keys, "token"], "left").groupBy(*keys).agg(overlap.alias("_overlap"))
+    return shared.select(*keys, (F.col("_overlap") / (2 - F.col("_overlap"))).alias(out))
 
 
 def baseline(fp: DataFrame, host_genes: DataFrame, genome: str = "genome_id", min_genes: int = 3, min_weight: float = 0.10) -> DataFrame:

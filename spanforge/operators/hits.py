@@ -150,15 +150,16 @@ def query_coverage(hits: DataFrame, key: str = "gene_id") -> DataFrame:
     return hits.groupBy(key).agg(F.max(F.when(good, F.col("qcov"))).alias("max_qcov"))
 
 
-def resolve_organisms(targets: DataFrame, labels: DataFrame, column: str = "target") -> DataFrame:
+def resolve_organisms(targets: DataFrame, labels: DataFrame, column: str = "target", every: DataFrame | None = None) -> DataFrame:
     """Add ``org_id`` and ``lineage`` by longest-prefix match.
 
     Only distinct organism names are expanded into candidate prefixes, so the work
-    follows the number of organisms, not of hits.
+    follows the number of organisms, not of hits. ``every`` is a plainer table with all
+    values of ``column``, read for the names where ``targets`` is costly to make twice.
     """
     org = F.split_part(F.col(column), F.lit("|"), F.lit(1))
     d = targets.withColumn("_org", org)
-    names = d.select("_org").distinct()
+    names = (targets if every is None else every).select(org.alias("_org")).distinct()
     legacy = F.lit("PHAGE__VARDNA__")
     bases = F.when(
         F.col("_org").startswith("PHAGE__VARDNA__"),

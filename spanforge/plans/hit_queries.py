@@ -230,7 +230,7 @@ RESOLVED = f"""names AS (SELECT DISTINCT split_part(target, '|', 1) AS org FROM
 
 
 def resolved(spark, sf):
-    return ho.resolve_organisms(ranked_hits(spark, sf), labels(spark, sf))
+    return ho.resolve_organisms(ranked_hits(spark, sf), labels(spark, sf), every=hits(spark, sf))
 
 
 @query(
