@@ -6,11 +6,13 @@ code serves files and columns.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ..functions.seq import overlapping_tiles
-
+from pyspark.sql import types as T
 
 
 HIT_FIELDS = ["target", "evalue", "bits", "pident", "qcov"]
@@ -202,40 +204,35 @@ def read_id_map(spark: SparkSession, path: str) -> DataFrame:
     return d
 
 
-RUN_TILE = 512
-
-
 def lowercase_runs(masked: DataFrame, original: DataFrame, key: str) -> DataFrame:
-    """Runs that are lower case in ``seq`` but not in ``original``.
-
-    Runs are found per tile; one crossing a tile edge is whole again after touching
-    runs are merged.
-    """
-    from ..operators.intervals import merge_intervals
-
-    d = masked.join(original, key)
-    both = F.arrays_zip(
-        overlapping_tiles(F.col("seq"), RUN_TILE).alias("a"), overlapping_tiles(F.col("original"), RUN_TILE).alias("b")
-    )
-    d = d.select(key, F.posexplode(both).alias("_t", "_w"))
+    """Runs that are lower case in ``seq`` but not in ``original``; both have one row per key."""
+    return case_runs(masked.join(original, key).select(key, "seq", "original"), key)
 
-    def chars(c: str) -> Column:
-        return F.split(F.col(f"_w.{c}"), "")
 
-    def mark(a: Column, b: Column) -> Column:
-        return F.when((a >= "a") & (a <= "z") & (F.length(a) == 1) & (a != b), "x").otherwise(".")
+def case_runs(records: DataFrame, key: str) -> DataFrame:
+    """Runs of a to z in ``seq`` where ``original`` has another character at that place, with both in one row.
 
-    flags = F.array_join(F.zip_with(chars("a"), chars("b"), mark), "")
-    runs = F.regexp_extract_all(flags, F.lit(r"(x+|\.+)"), F.lit(1))
-    empty = F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
-
-    def step(acc, run):
-        stop = acc["pos"] + F.length(run)
-        span = F.array(F.struct(acc["pos"].alias("s"), stop.alias("e")))
-        out = F.when(run.startswith("x"), F.concat(acc["out"], span)).otherwise(acc["out"])
-        return F.struct(stop.alias("pos"), out.alias("out"))
-
-    spans = F.aggregate(runs, empty, step, lambda acc: acc["out"])
-    found = d.select(key, (F.col("_t") * RUN_TILE).cast("bigint").alias("_o"), F.inline(spans))
-    placed = found.select(key, (F.col("_o") + F.col("s")).alias("start"), (F.col("_o") + F.col("e")).alias("end"))
-    return merge_intervals(placed, [key], 16384).drop("n_merged")
+    Each task compares the records it reads by code point, so no text moves and a run is whole at once.
+    """
+    schema = T.StructType([records.schema[key], T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+
+    def points(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        for batch in batches:
+            starts, ends, counts = [none], [none], []
+            for seq, original in zip(batch.column(1), batch.column(2), strict=True):
+                a, b = points(seq.as_py() or ""), points(original.as_py() or "")
+                n = min(len(a), len(b))
+                flag = np.zeros(n + 2, np.int8)
+                flag[1:-1] = (a[:n] >= 97) & (a[:n] <= 122) & (a[:n] != b[:n])
+                step = np.diff(flag)
+                starts.append(np.flatnonzero(step == 1))
+                ends.append(np.flatnonzero(step == -1))
+                counts.append(len(starts[-1]))
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), counts))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(np.concatenate(starts)), pa.array(np.concatenate(ends))], names=schema.names)
+
+    return records.select(key, "seq", "original").mapInArrow(run, schema)
