@@ -243,3 +243,42 @@ def test_a_stage_writes_less_than_a_checkpoint(spark):
     (path,) = set(glob.glob(shared_dir(spark).removeprefix("file:") + "/stage-*")) - before
     size = sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path))
     assert size < 50000 * 16 and back.dtypes == rows.dtypes and back.exceptAll(rows).isEmpty() and back.count() == 50000
+
+
+def test_long_records_are_compared_on_all_kmers(spark):
+    rng = random.Random(6)
+    long = "".join(rng.choices("ACGT", k=6000))
+    recs = [(0, 1, long), (0, 2, edited(rng, long, 20)), (0, 3, edited(rng, long[:4000], 9)), (1, 4, edited(rng, long, 30)), (0, 5, long[1000:1400])]
+    assert len(same_pairs(spark, recs, 16, exact=500)) == 6
+
+
+def test_probes_of_a_record_are_met_by_every_partner():
+    """Any half of the k-mers, the most common ones too, has as many of the probes as are asked for."""
+    import numpy as np
+
+    rng, draws = np.random.default_rng(2), sm._draws()
+    for n in (1, 2, 3, 9, 40, 150, 700, 5000):
+        codes = np.sort(rng.choice(10**9, n, replace=False))
+        common = codes[rng.random(n) < 0.4]
+        counts = rng.integers(2, 5000, len(common)).astype(float)
+        probes, need = sm.probes_of(codes, common, counts, 0.5, draws)
+        assert len(np.unique(probes)) == len(probes) and np.isin(probes, codes).all() and len(probes) <= max(n // 2 + 1, 400)
+        worst = np.r_[common[np.argsort(-counts)], np.setdiff1d(codes, common)][: -(-n // 2)]
+        assert np.isin(probes, worst).sum() >= need
+        for _ in range(50):
+            assert np.isin(probes, rng.choice(codes, -(-n // 2), replace=False)).sum() >= need
+
+
+def test_shuffle_files_go_with_the_stage_that_made_them(spark):
+    from pathlib import Path
+
+    from spanforge.session import cut, stage
+
+    def files():
+        folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {p for d in folder for p in Path(d).rglob("shuffle_*.data")}
+
+    before = files()
+    d = spark.range(20000).withColumn("k", F.col("id") % 977)
+    kept = [keep(d.repartition(7, "k").groupBy("k").count()) for keep in (stage, cut)]
+    assert files() <= before and [x.count() for x in kept] == [977, 977]
